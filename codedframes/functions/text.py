@@ -29,9 +29,14 @@ def text_list(values) -> str:
     return ", ".join(quote_text(v) for v in values)
 
 
-def missing_to_null(expression: str) -> str:
-    """Turn the missing-value tokens into NULL."""
-    return f"CASE WHEN {expression} IN ({text_list(NA_TOKENS)}) THEN NULL ELSE {expression} END"
+def present(cell: str) -> str:
+    """Condition: the cell is not missing."""
+    return f"NOT {cell} IN ({text_list(NA_TOKENS)})"
+
+
+def missing_to_null(cell: str, value: str | None = None) -> str:
+    """The cell (or a value made from it), NULL when it is a missing-value token."""
+    return f"CASE WHEN {present(cell)} THEN {value or cell} END"
 
 
 def cp1252_from_latin1(expression: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import CATEGORICAL_TYPES, MAX_CATEGORIES
-from ..functions.text import cp1252_from_latin1, missing_to_null, quote_name
+from ..functions.text import quote_name
 from ..operators.casts import cast_cell, category_index, category_literals, category_value, close_domain
 from ..operators.joins import BROADCAST_BYTES, lookup_join
 from ..operators.types import (
@@ -86,47 +86,37 @@ def cast_extract(
     keep: Sequence[str] = (),
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Raw text cells to typed columns, in three projections.
+    """Raw text cells to typed columns, in one projection over all of them.
 
-    Missing tokens first, then the casts, then the closed lists of categorical
-    columns; all columns are done together, never one by one. `keep` names
-    columns of `raw` that pass through in front.
+    `keep` names columns of `raw` that pass through in front.
     """
-    corrected = is_cp1252(charset)
-    kept = [quote_name(k) for k in keep]
-    cells, casts, domains = list(kept), list(kept), list(kept)
+    latin1 = is_cp1252(charset)
+    cells = [quote_name(k) for k in keep]
     joined, metadata = [], {}
     for r in plan.rows:
         name, cell, kind = r["udi"], quote_name(r["udi"]), r["spark_type"]
-        text = missing_to_null(cell)
-        dated = r["target"] in ("date", "day")
-        if corrected and kind == "string":
-            text = cp1252_from_latin1(text)
-        cells.append(f"{text} AS {cell}")
         if r["branch"] != "categorical":
-            casts.append(f"{cast_cell(name, cell, r['target'], kind, r['fmt'])} AS {cell}")
-            domains.append(cell)
-            continue
-        casts.append(cell if dated else f"{category_value(cell, kind)} AS {cell}")
-        if r["Encoding_id"] in plan.long_ids:
-            joined.append(r)
-            domains.append(cell)
-            continue
-        codes = plan.lists[r["Encoding_id"]]
-        literals = category_literals(codes, "string" if dated else kind, name)
-        if index_categories:
-            closed = category_index(cell, literals, r["index_type"])
+            value = cast_cell(name, cell, r["target"], kind, r["fmt"], latin1)
         else:
-            closed = close_domain(cell, literals, "string" if dated else kind)
-            closed = cast_cell(name, f"({closed})", r["target"], kind, r["fmt"]) if dated else closed
-        domains.append(f"{closed} AS {cell}")
-        metadata[name] = {"encoding_id": r["Encoding_id"], "categories": list(dict.fromkeys(codes))}
-    out = raw.selectExpr(*cells).selectExpr(*casts)
-    if len(metadata) > 0:
-        out = out.selectExpr(*domains)
+            dated = r["target"] in ("date", "day")
+            compared = "string" if dated else kind
+            value = category_value(cell, compared, latin1)
+            metadata[name] = {"encoding_id": r["Encoding_id"]}
+            if r["Encoding_id"] in plan.long_ids:
+                joined.append(r)
+            else:
+                codes = plan.lists[r["Encoding_id"]]
+                literals = category_literals(codes, compared, name)
+                metadata[name]["categories"] = list(dict.fromkeys(codes))
+                if index_categories:
+                    value = category_index(value, literals, r["index_type"])
+                else:
+                    value = close_domain(value, literals, compared)
+                    value = cast_cell(name, f"({value})", r["target"], kind, r["fmt"]) if dated else value
+        cells.append(f"{value} AS {cell}")
+    out = raw.selectExpr(*cells)
     for r in joined:
         out = _close_by_join(out, r, plan.codes, index_categories, max_broadcast_bytes)
-        metadata[r["udi"]] = {"encoding_id": r["Encoding_id"]}
     return _describe(out, metadata)
 
 

@@ -111,10 +111,8 @@ def clean_cells(raw: DataFrame, names: Sequence[str], text_names: Sequence[str]
     cells = []
     for name in names:
         cell = quote_name(name)
-        expression = missing_to_null(cell)
-        if name in corrected:
-            expression = cp1252_from_latin1(expression)
-        cells.append(f"{expression} AS {cell}")
+        value = cp1252_from_latin1(cell) if name in corrected else cell
+        cells.append(f"{missing_to_null(cell, value)} AS {cell}")
     return raw.selectExpr(*cells)
 
 
