@@ -12,6 +12,7 @@ from ..functions.text import quote_name, quote_text
 from .joins import BROADCAST_BYTES, lookup_join
 
 LITERAL_CODES = 64
+KEY = "__code"
 
 
 def _comparable(value: Column, numeric: bool) -> Column:
@@ -63,8 +64,9 @@ def decode_columns(
     out = frame.selectExpr("*", *literals) if literals else frame
     for name, i in columns.items():
         if str(i) not in by_id:
-            out = _joined_meaning(out, name, coding_lookup(encodings, i, numeric[name]), numeric[name],
-                                  name + suffix, max_broadcast_bytes)
+            lookup = coding_lookup(encodings, i, numeric[name]).withColumnsRenamed({"code": KEY, "meaning": name + suffix})
+            key = _comparable(F.col(quote_name(name)), numeric[name]).alias(KEY)
+            out = lookup_join(out.select("*", key), lookup, KEY, max_broadcast_bytes, frame.select(key)).drop(KEY)
     names = [quote_name(n) for n in [*frame.columns, *[c + suffix for c in columns]]]
     return out.selectExpr(*names)
 
@@ -92,12 +94,3 @@ def _number(code: str | None) -> float | None:
     except (TypeError, ValueError):
         return None
     return value if math.isfinite(value) else None
-
-
-def _joined_meaning(
-    frame: DataFrame, name: str, lookup: DataFrame, numeric: bool, out: str, max_broadcast_bytes: int
-) -> DataFrame:
-    key = "__code"
-    keyed = frame.withColumn(key, _comparable(F.col(quote_name(name)), numeric))
-    named = lookup.withColumnRenamed("code", key).withColumnRenamed("meaning", out)
-    return lookup_join(keyed, named, key, max_broadcast_bytes).drop(key)

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.fixed import CATEGORICAL_TYPES, MAX_CATEGORIES
 from ..functions.text import quote_name
@@ -115,13 +114,14 @@ def cast_extract(
                     value = cast_cell(name, f"({value})", r["target"], kind, r["fmt"]) if dated else value
         cells.append(f"{value} AS {cell}")
     out = raw.selectExpr(*cells)
+    base = out
     for r in joined:
-        out = _close_by_join(out, r, plan.codes, index_categories, max_broadcast_bytes)
+        out = _close_by_join(out, base, r, plan.codes, index_categories, max_broadcast_bytes)
     return _describe(out, metadata)
 
 
 def _close_by_join(
-    frame: DataFrame, row, codes: DataFrame, index_categories: bool, max_broadcast_bytes: int
+    frame: DataFrame, base: DataFrame, row, codes: DataFrame, index_categories: bool, max_broadcast_bytes: int
 ) -> DataFrame:
     """A closed list that is too long for literals: a left join on its codes."""
     name, cell, kind = row["udi"], quote_name(row["udi"]), row["spark_type"]
@@ -137,7 +137,8 @@ def _close_by_join(
     if index_categories:
         # Places are counted over one coding table's rows.
         listed = listed.selectExpr("__value", "row_number() OVER (ORDER BY __pos) - 1 AS __pos")
-    joined = lookup_join(frame.selectExpr("*", f"{cell} AS __value"), listed, "__value", max_broadcast_bytes)
+    key = f"{cell} AS __value"
+    joined = lookup_join(frame.selectExpr("*", key), listed, "__value", max_broadcast_bytes, base.selectExpr(key))
     if index_categories:
         closed = f"CAST(__pos AS {row['index_type']})"
     else:
@@ -151,7 +152,7 @@ def _describe(frame: DataFrame, metadata: dict) -> DataFrame:
     """Attach category lists to the columns' metadata, in one step."""
     if not metadata:
         return frame
-    fields = [
-        T.StructField(f.name, f.dataType, f.nullable, metadata.get(f.name, f.metadata)) for f in frame.schema.fields
-    ]
-    return frame.to(T.StructType(fields))
+    columns = [F.col(quote_name(c)) for c in frame.columns]
+    return frame.select(
+        *[c.alias(n, metadata=metadata[n]) if n in metadata else c for n, c in zip(frame.columns, columns)]
+    )
