@@ -8,16 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fixed import CP1252_BYTES, CP1252_TEXT
-from .text import quote_text
 
 _ENTITY = r"^&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);$"
 
 
 def _named_entities() -> Column:
-    """Map literal of the HTML 4 entity names, built from the standard library."""
+    """Map of the HTML 4 entity names, built from the standard library."""
     names = {**name2codepoint, "apos": ord("'")}
-    pairs = ", ".join(f"{quote_text(n)}, {quote_text(chr(c))}" for n, c in names.items())
-    return F.expr(f"map({pairs})")
+    text = "\x02".join(f"{name}\x01{chr(code)}" for name, code in names.items())
+    return F.str_to_map(F.lit(text), F.lit("\x02"), F.lit("\x01"))
 
 
 def _character(code_point: Column) -> Column:

@@ -17,24 +17,42 @@ from ..functions.text import cp1252_from_latin1, missing_to_null, present, quote
 SHORT_LIST = 64
 
 
-def _strict(name: str, cell: str, attempt: str, kind: str) -> str:
-    message = quote_text(f"Column {name}: not a {kind}: ")
-    return f"CASE WHEN {present(cell)} THEN coalesce({attempt}, raise_error(concat({message}, {cell}))) END"
+def _rarely(cell: str, expression: str) -> str:
+    """An expression over `x` for the few cells that plain attempts do not settle.
+
+    A lambda is not compiled into the projection. That keeps the generated
+    methods short enough for the JVM to optimise, which matters far more for
+    wide rows than the speed of the rare case.
+    """
+    return f"transform(array({cell}), x -> {expression})[0]"
+
+
+def _refused(name: str, kind: str) -> str:
+    return f"raise_error(concat({quote_text(f'Column {name}: not a {kind}: ')}, x))"
 
 
-def _number(cell: str) -> str:
-    # Java also reads "1d" and "1f" as numbers, and "NAN" as one. With "e0"
-    # after it, plain notation keeps its value and those words do not parse.
-    # The second attempt is for exponents, infinities and blanks.
-    odd = f"right({cell}, 1) IN ('d', 'D', 'f', 'F', 'n', 'N') AND NOT lower(trim({cell})) LIKE '%inf'"
-    return f"coalesce(try_cast(concat({cell}, 'e0') AS DOUBLE), IF({odd}, NULL, try_cast({cell} AS DOUBLE)))"
+# Java also reads "1d" and "1f" as numbers, and "NAN" as one. With "e0" after
+# it, plain notation keeps its value and those words do not parse. The second
+# attempt is for exponents, infinities and blanks.
+_PLAIN_NUMBER = "try_cast(concat({0}, 'e0') AS DOUBLE)"
+_OTHER_NUMBER = (
+    "IF(right(x, 1) IN ('d', 'D', 'f', 'F', 'n', 'N') AND NOT lower(trim(x)) LIKE '%inf', NULL, try_cast(x AS DOUBLE))"
+)
+# Text such as "3.0" is a whole number too.
+_PLAIN_WHOLE = "try_cast({0} AS BIGINT)"
+_OTHER_WHOLE = (
+    "IF(right(x, 1) <= '9' AND try_cast(x AS DOUBLE) = floor(try_cast(x AS DOUBLE)), "
+    "try_cast(try_cast(x AS DOUBLE) AS BIGINT), NULL)"
+)
 
 
-def _whole_number(cell: str) -> str:
-    # Text such as "3.0" is a whole number too.
-    value = f"try_cast({cell} AS DOUBLE)"
-    whole = f"right({cell}, 1) <= '9' AND {value} = floor({value})"
-    return f"coalesce(try_cast({cell} AS BIGINT), IF({whole}, try_cast({value} AS BIGINT), NULL))"
+def _strict(name: str, cell: str, attempt: str, kind: str) -> str:
+    return f"CASE WHEN {present(cell)} THEN coalesce({attempt}, {_rarely(cell, _refused(name, kind))}) END"
+
+
+def _strict_number(name: str, cell: str, plain: str, other: str, kind: str) -> str:
+    settled = _rarely(cell, f"coalesce({other}, {_refused(name, kind)})")
+    return f"CASE WHEN {present(cell)} THEN coalesce({plain.format(cell)}, {settled}) END"
 
 
 def to_int(name: str, cell: str) -> str:
@@ -45,11 +63,11 @@ def to_int(name: str, cell: str) -> str:
 
 def to_long(name: str, cell: str) -> str:
     """Whole number or missing."""
-    return _strict(name, cell, _whole_number(cell), "whole number")
+    return _strict_number(name, cell, _PLAIN_WHOLE, _OTHER_WHOLE, "whole number")
 
 
 def to_double(name: str, cell: str) -> str:
-    return _strict(name, cell, _number(cell), "number")
+    return _strict_number(name, cell, _PLAIN_NUMBER, _OTHER_NUMBER, "number")
 
 
 def to_timestamp(name: str, cell: str, fmt: str) -> str:
@@ -86,11 +104,10 @@ def category_value(cell: str, spark_type: str, latin1: bool = False) -> str:
     What is not a number becomes missing, and so do the tokens: none of them
     is a number that a list can hold.
     """
-    if spark_type == "double":
-        return _number(cell)
-    if spark_type == "bigint":
-        return _whole_number(cell)
-    return to_text(cell, latin1)
+    if spark_type == "string":
+        return to_text(cell, latin1)
+    plain, other = (_PLAIN_NUMBER, _OTHER_NUMBER) if spark_type == "double" else (_PLAIN_WHOLE, _OTHER_WHOLE)
+    return f"CASE WHEN {cell} IS NOT NULL THEN coalesce({plain.format(cell)}, {_rarely(cell, other)}) END"
 
 
 def category_literals(codes, spark_type: str, name: str) -> list[str]:

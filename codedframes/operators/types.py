@@ -202,19 +202,20 @@ def date_formats(resolved: DataFrame) -> DataFrame:
     return resolved.where(F.col("problem").isNull() & dated).select("pos", "udi", "fmt")
 
 
-def offered_codes(resolved: DataFrame, encodings: DataFrame) -> DataFrame:
-    """Code rows of the codings in use as closed value lists.
+def usable_codes(encodings: DataFrame) -> DataFrame:
+    """Codes that may occur in data: headings of hierarchical codings cannot."""
+    return selectable_only(encodings) if "selectable" in encodings.columns else encodings
 
-    Headings of hierarchical codings cannot be chosen and are left out.
-    """
+
+def offered_codes(resolved: DataFrame, encodings: DataFrame) -> DataFrame:
+    """Code rows of the codings in use as closed value lists."""
     scope = [c for c in ("dict_id",) if c in resolved.columns and c in encodings.columns]
     used = (
         resolved.where("problem is null and branch = 'categorical'")
         .select(*scope, F.col("Encoding_id").alias("encoding_id"))
         .distinct()
     )
-    offered = selectable_only(encodings) if "selectable" in encodings.columns else encodings
-    return offered.join(used, [*scope, "encoding_id"], "left_semi").select(*scope, "encoding_id", "pos", "code")
+    return usable_codes(encodings).join(used, [*scope, "encoding_id"], "left_semi").select(*scope, "encoding_id", "pos", "code")
 
 
 def category_lists(offered: DataFrame, max_codes: int = LIST_CODES) -> DataFrame:

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.order import first_files, list_files, with_row_index
 from ..operators.types import type_map
-from ..operators.validate import check_header
 from ..sinks.parquet import check_output, repartition, write_manifest, write_parquet
 from ..sources.codings import ID_PATTERN, read_coding_files, route_encodings
 from ..sources.dictionary import parse_dictionary, parse_encodings, read_pages
-from ..sources.extract import header_frame, read_header, scan_extract
+from ..sources.extract import read_header, scan_extract
 from .spec import ConversionSpec
 from .typed import cast_extract, check_types, plan_columns
 
@@ -73,10 +72,10 @@ def convert(
 ) -> dict[str, str]:
     """Write one Parquet folder per spec and return `name: folder`.
 
-    Dictionary, codings and header are read and checked once for all specs, and
-    every output folder is checked before the first write. The extract itself
-    is scanned per spec: keeping a copy of its text would cost more than
-    reading it again.
+    Dictionary, codings and header are read once for all specs, and every spec
+    is resolved and every output folder checked before the first write. The
+    extract itself is scanned per spec: keeping a copy of its text would cost
+    more than reading it again.
     """
     named = dict(specs) if isinstance(specs, Mapping) else {str(i): s for i, s in enumerate(specs)}
     inputs = tuple(p for p in (extract_path, dictionary_path, coding_path) if p)
@@ -85,13 +84,14 @@ def convert(
     dictionary, encodings = load_dictionary(spark, dictionary_path, coding_path, id_pattern)
     headers: dict[str, list[str]] = {}
     try:
+        typed = {}
         for name, spec in named.items():
             if spec.encoding not in headers:
-                names = read_header(spark, extract_path, spec.encoding)
-                check_header(header_frame(spark, names), dictionary)
-                headers[spec.encoding] = names
-            typed = typed_extract(spark, extract_path, headers[spec.encoding], dictionary, encodings, spec)
-            write_parquet(repartition(typed, spec.npartitions), spec.out_path, spec.settings, spec.force, inputs)
+                headers[spec.encoding] = read_header(spark, extract_path, spec.encoding)
+            typed[name] = typed_extract(spark, extract_path, headers[spec.encoding], dictionary, encodings, spec)
+        for name, spec in named.items():
+            frame = repartition(typed[name], spec.npartitions)
+            write_parquet(frame, spec.out_path, spec.settings, spec.force, inputs)
             record = {"extract": extract_path, "dictionary": dictionary_path, "codings": coding_path, **spec.as_config()}
             write_manifest(spark, spec.out_path, record, spec.description)
     finally:

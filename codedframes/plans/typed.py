@@ -14,13 +14,11 @@ from ..operators.casts import cast_cell, category_index, category_literals, cate
 from ..operators.joins import BROADCAST_BYTES, lookup_join
 from ..operators.types import (
     LIST_CODES,
-    category_lists,
-    long_codings,
     missing_types,
-    offered_codes,
     raise_problems,
     resolve_types,
     type_map,
+    usable_codes,
 )
 from ..sources.extract import header_frame, is_cp1252
 
@@ -68,13 +66,18 @@ def plan_columns(
     resolved = resolve_types(header_frame(spark, names), dictionary, mapping, categorical_types, max_categories)
     rows = resolved.select(*RESOLVED).orderBy("pos").collect()
     raise_problems(rows)
-    codes = offered_codes(resolved, encodings)
-    lists = {r["encoding_id"]: r["codes"] for r in category_lists(codes).collect()}
-    long_ids = {r["encoding_id"] for r in long_codings(codes).collect()}
-    without = {r["Encoding_id"] for r in rows if r["branch"] == "categorical"} - set(lists) - long_ids
+    used = sorted({r["Encoding_id"] for r in rows if r["branch"] == "categorical"})
+    codes = usable_codes(encodings).where(F.col("encoding_id").isin(used)).select("encoding_id", "pos", "code")
+    sizes = {r["encoding_id"]: r["count"] for r in codes.groupBy("encoding_id").count().collect()} if used else {}
+    without = [i for i in used if i not in sizes]
     if without:
-        raise ValueError(f"No coding table with usable codes for encoding ids {sorted(without)[:20]}")
-    return ColumnPlan(rows, lists, long_ids, codes)
+        raise ValueError(f"No coding table with usable codes for encoding ids {without[:20]}")
+    short = [i for i in used if sizes[i] <= LIST_CODES]
+    lists: dict[str, list[str]] = {i: [] for i in short}
+    if short:
+        for r in codes.where(F.col("encoding_id").isin(short)).orderBy("encoding_id", "pos").collect():
+            lists[r["encoding_id"]].append(r["code"])
+    return ColumnPlan(rows, lists, set(used) - set(short), codes)
 
 
 def cast_extract(

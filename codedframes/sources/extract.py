@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -62,8 +63,9 @@ def read_header(spark: SparkSession, path: str, charset: str = CHARSET) -> list[
 
 
 def header_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    """Header names as `pos, udi`."""
-    return spark.createDataFrame(list(enumerate(names)), "pos int, udi string")
+    """Header names as `pos, udi`, a local relation of known size."""
+    positions = pa.array(range(len(names)), pa.int32())
+    return spark.createDataFrame(pa.table({"pos": positions, "udi": pa.array(names, pa.string())}))
 
 
 def scan_extract(
