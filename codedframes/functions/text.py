@@ -73,3 +73,8 @@ def spark_pattern(strptime_format: str) -> str:
         else:
             raise ValueError(f"Date format {strptime_format!r}: directive {piece!r} is not supported")
     return "".join(out)
+
+
+def has_clock(strptime_format: str) -> bool:
+    """Whether a strptime format holds a time of day."""
+    return any(d in strptime_format for d in ("%H", "%M", "%S", "%f"))

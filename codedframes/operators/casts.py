@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import math
 
-from ..functions.text import cp1252_from_latin1, missing_to_null, present, quote_text, spark_pattern
+from ..functions.fixed import NA_TOKENS
+from ..functions.text import cp1252_from_latin1, has_clock, missing_to_null, present, quote_text, spark_pattern
 
 SHORT_LIST = 64
 
@@ -27,13 +28,18 @@ def _rarely(cell: str, expression: str) -> str:
     return f"transform(array({cell}), x -> {expression})[0]"
 
 
+def _unless_token(expression: str) -> str:
+    """The expression over `x`, NULL when `x` is a missing-value token."""
+    return f"IF(find_in_set(x, {quote_text(','.join(NA_TOKENS))}) > 0, NULL, {expression})"
+
+
 def _refused(name: str, kind: str) -> str:
     return f"raise_error(concat({quote_text(f'Column {name}: not a {kind}: ')}, x))"
 
 
 # Java also reads "1d" and "1f" as numbers, and "NAN" as one. With "e0" after
-# it, plain notation keeps its value and those words do not parse. The second
-# attempt is for exponents, infinities and blanks.
+# it, plain notation keeps its value and those words do not parse; nor does a
+# missing-value token. The second attempt is for exponents, infinities, blanks.
 _PLAIN_NUMBER = "try_cast(concat({0}, 'e0') AS DOUBLE)"
 _OTHER_NUMBER = (
     "IF(right(x, 1) IN ('d', 'D', 'f', 'F', 'n', 'N') AND NOT lower(trim(x)) LIKE '%inf', NULL, try_cast(x AS DOUBLE))"
@@ -46,13 +52,11 @@ _OTHER_WHOLE = (
 )
 
 
-def _strict(name: str, cell: str, attempt: str, kind: str) -> str:
-    return f"CASE WHEN {present(cell)} THEN coalesce({attempt}, {_rarely(cell, _refused(name, kind))}) END"
-
-
-def _strict_number(name: str, cell: str, plain: str, other: str, kind: str) -> str:
-    settled = _rarely(cell, f"coalesce({other}, {_refused(name, kind)})")
-    return f"CASE WHEN {present(cell)} THEN coalesce({plain.format(cell)}, {settled}) END"
+def _strict(name: str, cell: str, plain: str, other: str | None, kind: str) -> str:
+    """A plain attempt; then tokens, another attempt, or failure."""
+    refused = _refused(name, kind)
+    settled = _rarely(cell, _unless_token(f"coalesce({other}, {refused})" if other else refused))
+    return f"CASE WHEN {cell} IS NOT NULL THEN coalesce({plain}, {settled}) END"
 
 
 def to_int(name: str, cell: str) -> str:
@@ -63,21 +67,24 @@ def to_int(name: str, cell: str) -> str:
 
 def to_long(name: str, cell: str) -> str:
     """Whole number or missing."""
-    return _strict_number(name, cell, _PLAIN_WHOLE, _OTHER_WHOLE, "whole number")
+    return _strict(name, cell, _PLAIN_WHOLE.format(cell), _OTHER_WHOLE, "whole number")
 
 
 def to_double(name: str, cell: str) -> str:
-    return _strict_number(name, cell, _PLAIN_NUMBER, _OTHER_NUMBER, "number")
+    return _strict(name, cell, _PLAIN_NUMBER.format(cell), _OTHER_NUMBER, "number")
 
 
-def to_timestamp(name: str, cell: str, fmt: str) -> str:
-    pattern = quote_text(spark_pattern(fmt))
-    return _strict(name, cell, f"to_timestamp_ntz({cell}, {pattern})", f"date of format {fmt}")
+def to_day(name: str, cell: str, fmt: str) -> str:
+    plain = f"try_to_date({cell}, {quote_text(spark_pattern(fmt))})"
+    return _strict(name, cell, plain, None, f"date of format {fmt}")
 
 
-def to_day(name: str, cell: str, fmt: str) -> str:
-    pattern = quote_text(spark_pattern(fmt))
-    return _strict(name, cell, f"to_date({cell}, {pattern})", f"date of format {fmt}")
+def to_timestamp(name: str, cell: str, fmt: str) -> str:
+    if not has_clock(fmt):
+        return f"CAST({to_day(name, cell, fmt)} AS TIMESTAMP_NTZ)"
+    # There is no lenient parser without a time zone; tokens are sorted out first.
+    plain = f"to_timestamp_ntz({cell}, {quote_text(spark_pattern(fmt))})"
+    return f"CASE WHEN {present(cell)} THEN {_strict(name, cell, plain, None, f'date of format {fmt}')} END"
 
 
 def to_text(cell: str, latin1: bool = False) -> str:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.fixed import CATEGORICAL_TYPES, MAX_CATEGORIES
 from ..functions.text import quote_name
@@ -152,10 +153,16 @@ def _close_by_join(
 
 
 def _describe(frame: DataFrame, metadata: dict) -> DataFrame:
-    """Attach category lists to the columns' metadata, in one step."""
+    """Attach category lists to the columns' metadata, for all columns at once.
+
+    The aliases on top keep the optimiser from dropping a projection that
+    changes nothing but metadata.
+    """
     if not metadata:
         return frame
-    columns = [F.col(quote_name(c)) for c in frame.columns]
-    return frame.select(
-        *[c.alias(n, metadata=metadata[n]) if n in metadata else c for n, c in zip(frame.columns, columns)]
+    schema = frame.schema
+    described = T.StructType(
+        [T.StructField(f.name, f.dataType, f.nullable, metadata.get(f.name, f.metadata)) for f in schema.fields]
     )
+    names = [quote_name(n) for n in schema.names]
+    return frame.to(described).selectExpr(*[f"{n} AS {n}" for n in names])
