@@ -580,14 +580,14 @@ def date_formats(spark, sf_dir):
 
 
 @query(f'{PART_SQL} SELECT DISTINCT CASE WHEN "Is_categorical" THEN \'Encoding_type\' ELSE \'Type\' END AS kind, '
-       'CASE WHEN "Is_categorical" THEN "Encoding_type" ELSE "Type" END AS ukb_type FROM d')
+       'CASE WHEN "Is_categorical" THEN "Encoding_type" ELSE "Type" END AS source_type FROM d')
 def required_types(spark, sf_dir):
     """T12."""
     return types.required_types(data.part_dictionary(spark, sf_dir))
 
 
 @query(f"{PART_SQL} SELECT DISTINCT CASE WHEN \"Is_categorical\" THEN 'Encoding_type' ELSE 'Type' END AS kind, "
-       "CASE WHEN \"Is_categorical\" THEN \"Encoding_type\" ELSE \"Type\" END AS ukb_type FROM d "
+       "CASE WHEN \"Is_categorical\" THEN \"Encoding_type\" ELSE \"Type\" END AS source_type FROM d "
        "WHERE CASE WHEN \"Is_categorical\" THEN \"Encoding_type\" ELSE \"Type\" END IN ('Curve', 'Real')")
 def missing_types(spark, sf_dir):
     """T13."""
@@ -596,7 +596,7 @@ def missing_types(spark, sf_dir):
 
 
 @query("""
-SELECT 'Type' AS kind, p_type AS ukb_type, arg_max(CASE WHEN p_partkey % 2 = 0 THEN 'float' ELSE 'string' END, p_partkey) AS target, CAST(NULL AS VARCHAR) AS fmt
+SELECT 'Type' AS kind, p_type AS source_type, arg_max(CASE WHEN p_partkey % 2 = 0 THEN 'float' ELSE 'string' END, p_partkey) AS target, CAST(NULL AS VARCHAR) AS fmt
 FROM part GROUP BY p_type
 UNION ALL
 SELECT * FROM (VALUES ('Type', 'Sequence', 'int', NULL), ('Type', 'Integer', 'float', NULL), ('Type', 'Continuous', 'float', NULL), ('Type', 'Text', 'string', NULL),
@@ -607,7 +607,7 @@ SELECT * FROM (VALUES ('Type', 'Sequence', 'int', NULL), ('Type', 'Integer', 'fl
 def type_map_overrides(spark, sf_dir):
     """Later overrides win."""
     overrides = data.table(spark, sf_dir, "part").selectExpr(
-        "'Type' AS kind", "p_type AS ukb_type", "IF(p_partkey % 2 = 0, 'float', 'string') AS target",
+        "'Type' AS kind", "p_type AS source_type", "IF(p_partkey % 2 = 0, 'float', 'string') AS target",
         "CAST(NULL AS string) AS fmt", "CAST(p_partkey + 1 AS int) AS priority",
     )
     return types.override_type_map(types.type_map(spark), overrides)

@@ -25,7 +25,7 @@ from ..sources.codings import selectable_only
 
 PROFILES = {"dtype": DTYPE_TARGETS, "nullable": NULLABLE_TARGETS}
 LIST_CODES = 1024
-MAP_SCHEMA = "kind string, ukb_type string, target string, fmt string"
+MAP_SCHEMA = "kind string, source_type string, target string, fmt string"
 KINDS = ("Type", "Encoding_type")
 
 
@@ -42,7 +42,7 @@ def type_map(spark: SparkSession, targets: Mapping | str = "dtype") -> DataFrame
         raise ValueError(f"A type map has the levels {KINDS}, not {sorted(unknown)}")
     rows = [(kind, name, *_target(value)) for kind in KINDS for name, value in levels.get(kind, {}).items()]
     values = ", ".join(f"({', '.join('null' if v is None else quote_text(v) for v in row)})" for row in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t(kind, ukb_type, target, fmt)").to(T.StructType.fromDDL(MAP_SCHEMA))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(kind, source_type, target, fmt)").to(T.StructType.fromDDL(MAP_SCHEMA))
 
 
 def _target(value) -> tuple[str, str | None]:
@@ -67,7 +67,7 @@ def override_type_map(defaults: DataFrame, overrides: DataFrame) -> DataFrame:
         overrides = overrides.withColumn("priority", F.lit(1))
     ranked = defaults.withColumn("priority", F.lit(0)).unionByName(overrides)
     best = F.max_by(F.struct("target", "fmt"), "priority")
-    return ranked.groupBy("kind", "ukb_type").agg(best.alias("best")).select("kind", "ukb_type", "best.*")
+    return ranked.groupBy("kind", "source_type").agg(best.alias("best")).select("kind", "source_type", "best.*")
 
 
 def date_typed_keys(mapping: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def date_typed_keys(mapping: DataFrame) -> DataFrame:
 
 
 def required_types(dictionary: DataFrame, categorical_types: Iterable[str] = CATEGORICAL_TYPES) -> DataFrame:
-    """Source types a mapping must know: `kind, ukb_type`.
+    """Source types a mapping must know: `kind, source_type`.
 
     Non-categorical types under `Type`, value types of categorical columns
     under `Encoding_type`.
@@ -84,7 +84,7 @@ def required_types(dictionary: DataFrame, categorical_types: Iterable[str] = CAT
     categorical = F.coalesce(F.col("Type").isin(*categorical_types), F.lit(False))
     kind = F.when(categorical, "Encoding_type").otherwise("Type")
     name = F.when(categorical, F.col("Encoding_type")).otherwise(F.col("Type"))
-    return dictionary.select(kind.alias("kind"), name.alias("ukb_type")).distinct()
+    return dictionary.select(kind.alias("kind"), name.alias("source_type")).distinct()
 
 
 def missing_types(
@@ -92,7 +92,7 @@ def missing_types(
 ) -> DataFrame:
     """Required types the mapping lacks."""
     required = required_types(dictionary, categorical_types)
-    same = required["kind"].eqNullSafe(mapping["kind"]) & required["ukb_type"].eqNullSafe(mapping["ukb_type"])
+    same = required["kind"].eqNullSafe(mapping["kind"]) & required["source_type"].eqNullSafe(mapping["source_type"])
     return required.join(mapping, same, "left_anti")
 
 
@@ -144,10 +144,10 @@ def resolve_types(
     """
     scope = [c for c in ("dict_id",) if c in columns.columns and c in dictionary.columns]
     by_type = mapping.where("kind = 'Type'").select(
-        F.col("ukb_type").alias("Type"), F.struct("target", "fmt").alias("by_type")
+        F.col("source_type").alias("Type"), F.struct("target", "fmt").alias("by_type")
     )
     by_value = mapping.where("kind = 'Encoding_type'").select(
-        F.col("ukb_type").alias("Encoding_type"), F.struct("target", "fmt").alias("by_value")
+        F.col("source_type").alias("Encoding_type"), F.struct("target", "fmt").alias("by_value")
     )
     members = F.col("Encoding_num_members")
     categorical = F.coalesce(F.col("Type").isin(*categorical_types), F.lit(False))

@@ -44,7 +44,7 @@ def check_types(
     dictionary: DataFrame, mapping: DataFrame, categorical_types: Sequence[str] = CATEGORICAL_TYPES
 ) -> None:
     """Raise when the mapping lacks a type the dictionary uses."""
-    lacking = [(r["kind"], r["ukb_type"]) for r in missing_types(dictionary, mapping, categorical_types).take(50)]
+    lacking = [(r["kind"], r["source_type"]) for r in missing_types(dictionary, mapping, categorical_types).take(50)]
     if lacking:
         raise ValueError(f"The type map lacks {sorted(lacking, key=str)}")
 

@@ -103,9 +103,9 @@ def test_required_and_missing_types(spark, dictionary):
 def test_overrides_leave_the_defaults_alone(spark):
     changed = R.override_targets("dtype", {"Type": {"Integer": "string", "New": ["date", "%d/%m/%Y"]}})
     assert changed["Type"]["Integer"] == "string" and R.DTYPE_TARGETS["Type"]["Integer"] == "float"
-    rows = {r["ukb_type"]: (r["target"], r["fmt"]) for r in R.type_map(spark, changed).where("kind = 'Type'").collect()}
+    rows = {r["source_type"]: (r["target"], r["fmt"]) for r in R.type_map(spark, changed).where("kind = 'Type'").collect()}
     assert rows["New"] == ("date", "%d/%m/%Y") and len(rows) == 9
-    assert {r["ukb_type"] for r in R.date_typed_keys(R.type_map(spark)).collect()} == {"Date", "Time", "ERROR"}
+    assert {r["source_type"] for r in R.date_typed_keys(R.type_map(spark)).collect()} == {"Date", "Time", "ERROR"}
     for bad in ({"Type": {"A": "complex"}}, {"Type": {"A": ["Clock", "%H"]}}, {"Types": {}}):
         with pytest.raises(ValueError):
             R.type_map(spark, bad)
