@@ -15,15 +15,27 @@ LITERAL_CODES = 64
 KEY = "__code"
 
 
-def _comparable(value: Column, numeric: bool) -> Column:
+def _comparable(value: Column, kind: str) -> Column:
     """Codes are compared by value: "1", "1.0" and 1 are the same number."""
-    return value.try_cast("double") if numeric else value.cast("string")
+    if kind == "string":
+        return value.cast("string")
+    number = value.try_cast("double")
+    if kind == "double":
+        return number
+    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+    return F.coalesce(value.try_cast("bigint"), whole)
 
 
-def coding_lookup(encodings: DataFrame, encoding_id: str, numeric: bool) -> DataFrame:
+def _compared_as(kind: str) -> str:
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return "bigint"
+    return "double" if kind in ("float", "double") else "string"
+
+
+def coding_lookup(encodings: DataFrame, encoding_id: str, kind: str) -> DataFrame:
     """`code, meaning` of one coding with unique codes; the first row counts."""
     rows = encodings.where(F.col("encoding_id") == str(encoding_id))
-    key = _comparable(F.col("code"), numeric).alias("code")
+    key = _comparable(F.col("code"), kind).alias("code")
     return (
         rows.select(key, "pos", "meaning")
         .where(F.col("code").isNotNull())
@@ -46,8 +58,8 @@ def decode_columns(
     inside one projection, so decoding many columns adds no joins; longer ones
     are joined.
     """
-    numeric_types = ("tinyint", "smallint", "int", "bigint", "float", "double")
-    numeric = {name: dict(frame.dtypes)[name] in numeric_types for name in columns}
+    dtypes = dict(frame.dtypes)
+    kinds = {name: _compared_as(dtypes[name]) for name in columns}
     wanted = sorted({str(i) for i in columns.values()})
     used = encodings.where(F.col("encoding_id").isin(wanted))
     sizes = {r["encoding_id"]: r["count"] for r in used.groupBy("encoding_id").count().collect()}
@@ -57,40 +69,43 @@ def decode_columns(
         by_id[r["encoding_id"]].append(r)
 
     literals = [
-        f"{_literal_meaning(name, by_id[str(i)], numeric[name])} AS {quote_name(name + suffix)}"
+        f"{_literal_meaning(name, by_id[str(i)], kinds[name])} AS {quote_name(name + suffix)}"
         for name, i in columns.items()
         if str(i) in by_id
     ]
     out = frame.selectExpr("*", *literals) if literals else frame
     for name, i in columns.items():
         if str(i) not in by_id:
-            lookup = coding_lookup(encodings, i, numeric[name]).withColumnsRenamed({"code": KEY, "meaning": name + suffix})
-            key = _comparable(F.col(quote_name(name)), numeric[name]).alias(KEY)
+            lookup = coding_lookup(encodings, i, kinds[name]).withColumnsRenamed({"code": KEY, "meaning": name + suffix})
+            key = _comparable(F.col(quote_name(name)), kinds[name]).alias(KEY)
             out = lookup_join(out.select("*", key), lookup, KEY, max_broadcast_bytes, frame.select(key)).drop(KEY)
     names = [quote_name(n) for n in [*frame.columns, *[c + suffix for c in columns]]]
     return out.selectExpr(*names)
 
 
-def _literal_meaning(name: str, rows: list, numeric: bool) -> str:
+def _literal_meaning(name: str, rows: list, kind: str) -> str:
     meanings: dict = {}
     for r in sorted(rows, key=lambda r: r["pos"]):
-        code = r["code"]
-        if numeric:
-            code = _number(code)
-        if code is not None:
-            meanings.setdefault(code, r["meaning"])
-    pairs = ", ".join(
-        f"{f'{code!r}D' if numeric else quote_text(code)}, {'CAST(NULL AS STRING)' if m is None else quote_text(m)}"
-        for code, m in meanings.items()
-    )
-    if not pairs:
+        literal = _literal(r["code"], kind)
+        if literal is not None:
+            meanings.setdefault(literal, "CAST(NULL AS STRING)" if r["meaning"] is None else quote_text(r["meaning"]))
+    if not meanings:
         return "CAST(NULL AS STRING)"
-    return f"try_element_at(map({pairs}), CAST({quote_name(name)} AS {'DOUBLE' if numeric else 'STRING'}))"
+    pairs = ", ".join(f"{code}, {meaning}" for code, meaning in meanings.items())
+    return f"try_element_at(map({pairs}), CAST({quote_name(name)} AS {kind}))"
 
 
-def _number(code: str | None) -> float | None:
+def _literal(code: str | None, kind: str) -> str | None:
+    """A code as a SQL literal, None when it is no value of that kind."""
+    if code is None or kind == "string":
+        return None if code is None else quote_text(code)
     try:
-        value = float(code)
-    except (TypeError, ValueError):
+        whole = kind == "bigint" and code.strip().lstrip("+-").isdigit()
+        value = int(code) if whole else float(code) + 0.0
+    except ValueError:
+        return None
+    if kind == "double":
+        return f"{value!r}D" if math.isfinite(value) else None
+    if not -(2**63) < value < 2**63 or value != int(value):
         return None
-    return value if math.isfinite(value) else None
+    return f"{int(value)}L"

@@ -47,3 +47,13 @@ def test_measured_size(spark):
 def test_unknown_coding_has_no_meanings(coded, lists):
     out = decode_columns(coded, {"1-0.0": "absent"}, lists)
     assert out.where("`1-0.0_meaning` IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"literal_codes": 0}])
+def test_long_whole_numbers_stay_apart(spark, options):
+    big = 2**53
+    codes = [("w", 1, str(big), "even"), ("w", 2, str(big + 1), "odd"), ("w", 3, "3.0", "three"), ("w", 4, "3.5", "none")]
+    lists = spark.createDataFrame(codes, "encoding_id string, pos bigint, code string, meaning string")
+    frame = spark.createDataFrame([(big,), (big + 1,), (3,), (4,)], "c bigint")
+    found = {r["c"]: r["c_meaning"] for r in decode_columns(frame, {"c": "w"}, lists, **options).collect()}
+    assert found == {big: "even", big + 1: "odd", 3: "three", 4: None}
