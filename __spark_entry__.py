@@ -28,6 +28,21 @@ from codedframes.sources import dictionary as pages  # noqa: E402
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# The operators on training text are an optional part: the rest works without their folder.
+TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+TEXT_ORACLES: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from codedframes.llm import queries as text
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "codedframes.llm"):
+        raise
+else:
+    TEXT_QUERIES |= text.QUERIES | {"pipeline": corpus_pipeline.run}
+    TEXT_ORACLES |= text.ORACLES
+    if corpus_pipeline.ORACLE_SQL is not None:
+        TEXT_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 
 def query(sql: str | None = None):
     """Register a query under its function name, with its SQL."""
@@ -47,11 +62,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return dict(QUERIES) | TEXT_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(ORACLES) | TEXT_ORACLES
 
 
 # Pieces of SQL that several checks share.

@@ -39,12 +39,12 @@ def _rows(frame):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query(spark, database, name):
-    found = entry.queries()[name](spark, TABLES).toPandas()
-    expected = database.execute(entry.oracle_sql()[name]).df()
+    found = entry.QUERIES[name](spark, TABLES).toPandas()
+    expected = database.execute(entry.ORACLES[name]).df()
     assert sorted(found.columns) == sorted(expected.columns)
     assert _rows(found) == _rows(expected)
