@@ -7,7 +7,8 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Words are maximal runs of characters other than blank, tab, line feed, vertical tab, form feed and carriage return.
 #: bytes.split() splits at exactly these.
@@ -40,6 +41,22 @@ def drop_saved(frame: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ranked(frame: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """`frame` with `rank`, from 0, of each row within its group in the given order; equal rows get any order.
+
+    No group has to fit a task: rows are dealt by ranges of (group, order) and kept, numbered within each range, and
+    each range adds the counts of those before it. The counts have one row per range and group, not per row.
+    """
+    dealt = saved(frame.repartitionByRange(group, *order).withColumn("range_no", F.spark_partition_id()))
+    before = Window.partitionBy(group).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(group, "range_no").count().select(
+        group, "range_no", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before")
+    )
+    in_range = F.row_number().over(Window.partitionBy(group, "range_no").orderBy(*order)) - 1
+    numbered = dealt.withColumn("rank", in_range).join(starts, [group, "range_no"])
+    return numbered.withColumn("rank", F.col("rank") + F.col("before")).drop("before", "range_no")
+
+
 def local_components(n: int, left: np.ndarray, right: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
     """The smallest member of each node's component among nodes 0..n-1; `root` carries on an earlier result."""
     root = np.arange(n) if root is None else root

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codedframes.llm import simhash
+from codedframes.llm import mixing, packing, simhash, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,8 +29,90 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Mixing in SQL. Sources are capped in order of cap / weight; `held` counts the capped ones.
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
+  FROM sized GROUP BY source),
+weighed AS (SELECT *, [5, 2, 1][number % 3 + 1] AS weight FROM sources),
+sorted AS (
+  SELECT *, row_number() OVER o AS place, 1.5::DOUBLE * sum(source_size) OVER () - 2 * coalesce(sum(source_size) OVER before, 0) AS rest,
+         sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+  FROM weighed WINDOW o AS (ORDER BY 2.0::DOUBLE * source_size / weight, number),
+    before AS (ORDER BY 2.0::DOUBLE * source_size / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+held AS (SELECT min(place) AS place, arg_min(rest / weight_left, place) AS rate FROM sorted WHERE rest / weight_left * weight <= 2 * source_size),
+targets AS (
+  SELECT source, source_size, number,
+         CASE WHEN sorted.place < held.place OR held.place IS NULL THEN 2.0::DOUBLE * source_size ELSE held.rate * weight END AS target,
+         CAST('0x' || substr(md5('42:' || coalesce('=' || source, 'null')), 1, 13) AS BIGINT) / 16.0::DOUBLE ** 13 AS start
+  FROM sorted, held),
+numbered AS (
+  SELECT doc_id, size, source_size, target, start, CASE WHEN source_size > 0 THEN least(2.0::DOUBLE, target / source_size) ELSE 0 END AS rate,
+         row_number() OVER (PARTITION BY number ORDER BY size, doc_id) - 1 AS rank
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (floor((rank + 1) * rate + start) - floor(rank * rate + start)) AS BIGINT) AS taken
+FROM numbered
+"""
+
+
+@query(MIX_SQL)
+def op2_mixing(spark, sf_dir):
+    """All documents, mixed by source weights 5, 2, 1."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
+
+
+def _hits(terms) -> str:
+    return " + ".join(f"CAST(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INT)" for t in terms)
+
+
+URL_SQL = f"""
+WITH split AS (
+  SELECT page_id, coalesce(url, '') AS url, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         strpos(coalesce(url, ''), '://') AS mark FROM pages),
+parts AS (
+  SELECT page_id, low, CASE WHEN mark > 0 THEN regexp_extract(substr(low, mark + 3), '^[^/?#]*', 0) ELSE '' END AS host,
+         CASE WHEN mark > 0 THEN regexp_extract(substr(url, mark + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM split),
+judged AS (
+  SELECT *, CASE
+    {" ".join(f"WHEN ('.' || host) LIKE '%.{r.partition('/')[0]}' AND starts_with(path, '/{r.partition('/')[2]}') THEN '{r}'"
+              for r, _ in sorted(RULES, key=lambda r: -len(r[0])))} END AS rule,
+    {_hits(urls.STRICT)} AS strict_hits, {_hits(urls.SOFT)} AS soft_hits
+  FROM parts)
+SELECT page_id, host, path, rule,
+       CASE {" ".join(f"WHEN rule = '{r}' THEN '{v}'" for r, v in RULES)}
+            WHEN strict_hits > 0 OR soft_hits >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
+       CAST(strict_hits AS INT) AS strict_hits, CAST(soft_hits AS INT) AS soft_hits
+FROM judged
+"""
+
+
+@query(URL_SQL)
+def op3_url_filter(spark, sf_dir):
+    """Every page's address, judged by the rules, else by the vocabulary."""
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 @query()
 def op4_simhash(spark, sf_dir):
     """Fingerprints of three-word shingles and their classes at three or fewer differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query()
+def op5_packing(spark, sf_dir):
+    """All documents as token pieces, packed into sequences of 1024."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op7_toxicity(spark, sf_dir):
+    """Severity of every document by a model fitted on the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
