@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codedframes.llm import mixing, packing, simhash, toxicity, urls
+from codedframes.llm import mixing, packing, simhash, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +111,24 @@ def op5_packing(spark, sf_dir):
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+
+@query(TOPK_SQL)
+def op6_topk(spark, sf_dir):
+    """The 20 best inner products of every 20th vector among all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
 @query()
 def op7_toxicity(spark, sf_dir):
     """Severity of every document by a model fitted on the labelled ones."""
