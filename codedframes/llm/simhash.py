@@ -13,7 +13,7 @@ from codedframes.llm.common import local_components, saved
 from codedframes.llm.components import components
 
 #: A part of the trie that one task joins with another holds at most n / PARTS fingerprints, within these limits.
-PARTS, PART_LEAST, PART_MOST = 64, 4096, 500_000
+PARTS, PART_LEAST, PART_MOST = 32, 64, 500_000
 #: Node pairs with so few pairs of fingerprints are compared at once; so many node pairs are expanded together.
 SMALL, CHUNK = 32, 1 << 18
 
