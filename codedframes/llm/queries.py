@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codedframes.llm import mixing, packing, simhash, topk, toxicity, urls
+from codedframes.llm import fingerprints, mixing, packing, simhash, suffix, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, and how alike they and the next document's are."""
+    rows = fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprints.encoded(F.col("sketch")).alias("fingerprint"), fingerprints.encoded(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 #: Mixing in SQL. Sources are capped in order of cap / weight; `held` counts the capped ones.
 MIX_SQL = r"""
 WITH sized AS (
@@ -134,3 +146,10 @@ def op7_toxicity(spark, sf_dir):
     """Severity of every document by a model fitted on the labelled ones."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op10_suffix(spark, sf_dir):
+    """All documents without the strings of 200 bytes that are there more than once."""
+    rows = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
