@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codedframes.llm import fingerprints, mixing, packing, simhash, suffix, topk, toxicity, urls
+from codedframes.llm import fingerprints, line_dedup, mixing, packing, simhash, suffix, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,6 +148,13 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query()
+def op8_line_dedup(spark, sf_dir):
+    """All documents without the lines that repeat another, at one edit or none."""
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", "removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query()
 def op10_suffix(spark, sf_dir):
     """All documents without the strings of 200 bytes that are there more than once."""
