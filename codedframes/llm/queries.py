@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codedframes.llm import fingerprints, line_dedup, mixing, packing, simhash, suffix, topk, toxicity, urls
+from codedframes.llm import fingerprints, line_dedup, mixing, packing, passages, simhash, suffix, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,6 +155,14 @@ def op8_line_dedup(spark, sf_dir):
     return rows.select("doc_id", "n_lines", "n_removed", "removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op9_passages(spark, sf_dir):
+    """Classes of all documents that share a near-duplicate passage of 50 words or more."""
+    rows = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["first"], s["last"])), " ")
+    return rows.select("doc_id", "class_id", "copies", "n_links", spans.alias("spans"))
+
+
 @query()
 def op10_suffix(spark, sf_dir):
     """All documents without the strings of 200 bytes that are there more than once."""
