@@ -17,14 +17,16 @@ from codedframes.llm.common import saved
 SAMPLE_ROWS, MAX_FEATURES = 20_000, 4_000
 #: A feature is used from this z value of its share among toxic texts against its share among others.
 LEAST_Z = 3.0
+#: A text is rejected from this probability of any grade above 0.
+THRESHOLD = 0.4
 PREFIXES = (4, 5, 6, 7)
 TOKEN = re.compile(r"\w+")
 GRADES = ("clean", "toxic", "toxic and of low quality")
 
 
-def features(text: bytes | None) -> set[str]:
+def features(text: str | None) -> set[str]:
     """Presence features of a whole text: its lower-case words, and their beginnings (with a dash) for rare forms."""
-    words = set(TOKEN.findall((text or b"").decode("utf-8", "replace").lower()))
+    words = set(TOKEN.findall((text or "").lower()))
     return words | {f"{w[:n]}-" for w in words for n in PREFIXES if len(w) > n}
 
 
@@ -35,7 +37,7 @@ class OrdinalModel:
     weights: dict[str, float]
     cuts: tuple[float, ...]
 
-    def score(self, text: bytes | None) -> tuple[float, float, int]:
+    def score(self, text: str | None) -> tuple[float, float, int]:
         """Expected grade, probability of a grade above 0, and the most probable grade."""
         s = sum(self.weights.get(x, 0.0) for x in features(text))
         at_most = 1 / (1 + np.exp(np.clip(s - np.array(self.cuts), -60, 60)))
@@ -82,7 +84,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_g
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, text binary, grade) of the labelled rows with the smallest id hashes, at most `sample_rows` labels.
+    """(doc_id, text, grade) of the labelled rows with the smallest id hashes, at most `sample_rows` labels.
 
     Grades: 0 without the toxic flag, 1 with it, 2 if the quality flag says low as well; a null toxic flag is no label.
     The chosen ids have that bound, so they are broadcast, and texts stay where they are.
@@ -92,8 +94,7 @@ def labelled(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         .select("doc_id", F.expr("CASE WHEN toxic = 0 THEN 0 WHEN quality = 0 THEN 2 ELSE 1 END").alias("grade"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(sample_rows)
     )
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "grade")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "grade")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES) -> OrdinalModel:
@@ -131,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
     return OrdinalModel({x: float(w) for x, w in zip(names, weights, strict=True)}, tuple(map(float, cuts)))
 
 
-def score(docs: DataFrame, model: OrdinalModel, threshold: float = 0.4) -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, severity, p_toxic, grade, rejected) of each row of `docs` (doc_id, text), whole texts.
 
     severity is the expected grade (0 to 2). A row is rejected if its probability of any grade above 0 reaches the
@@ -149,6 +150,17 @@ def score(docs: DataFrame, model: OrdinalModel, threshold: float = 0.4) -> DataF
                 ["doc_id", "severity", "p_toxic", "grade", "rejected"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         rate, "doc_id long, severity double, p_toxic double, grade int, rejected boolean"
     )
+
+
+def accepted(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, all columns, that `score` doesn't reject; rows are judged where they are."""
+    at = docs.columns.index("text")
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array([model.score(t)[1] < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
