@@ -120,10 +120,15 @@ FROM orders
 ORDERS_TEXT_SQL = """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_custkey % 7 > 1 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,
        CASE WHEN o_custkey % 11 <> 0 THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_custkey % 13 <> 0 THEN o_totalprice END AS o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority || ' café €' AS o_orderpriority
 FROM orders
 """
-TEXT_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+
+
+def _text_columns(frame):
+    """All cells as text, but for the price: Spark and the check write doubles as text in different ways."""
+    return frame.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 
 
 # Sources
@@ -132,21 +137,21 @@ TEXT_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_or
 @query(ORDERS_TEXT_SQL)
 def extract_scan(spark, sf_dir):
     """Windows-1252 text cells with missing-value tokens."""
-    return extract.read_extract(spark, data.orders_extract(spark, sf_dir)).select(*TEXT_COLUMNS)
+    return _text_columns(extract.read_extract(spark, data.orders_extract(spark, sf_dir)))
 
 
 @query(ORDERS_TEXT_SQL)
 def extract_scan_leading_tab(spark, sf_dir):
     """An empty cell in front of every data row."""
     path = data.orders_extract(spark, sf_dir, leading_tabs=1)
-    return extract.read_extract(spark, path, offset=1).select(*TEXT_COLUMNS)
+    return _text_columns(extract.read_extract(spark, path, offset=1))
 
 
 @query(ORDERS_TEXT_SQL)
 def extract_scan_trailing_tabs(spark, sf_dir):
     """Two empty cells behind every data row."""
     path = data.orders_extract(spark, sf_dir, trailing_tabs=2)
-    return extract.read_extract(spark, path, offset=-2).select(*TEXT_COLUMNS)
+    return _text_columns(extract.read_extract(spark, path, offset=-2))
 
 
 @query("""
@@ -574,12 +579,41 @@ def type_problems(spark, sf_dir):
     return resolved.where("problem IS NOT NULL").select("pos", "udi", "problem")
 
 
-@query(f"""{TYPES_SQL}, {CODINGS_SQL} SELECT e.encoding_id, string_agg(code, ',' ORDER BY pos) AS codes FROM e
+@query(f"""{TYPES_SQL}, {CODINGS_SQL} SELECT e.encoding_id, 0 AS part, string_agg(code, ',' ORDER BY pos) AS codes FROM e
 WHERE (NOT is_hierarchical OR selectable = 'Y') AND encoding_id IN (SELECT "Encoding_id" FROM s WHERE branch = 'categorical') GROUP BY 1""")
 def category_lists(spark, sf_dir):
     """T6."""
     offered = types.offered_codes(_resolved(spark, sf_dir), data.customer_codings(spark, sf_dir))
-    return types.category_lists(offered).select("encoding_id", F.array_join("codes", ",").alias("codes"))
+    return types.category_lists(offered).select("encoding_id", "part", F.array_join("codes", ",").alias("codes"))
+
+
+@query("SELECT 'all' AS encoding_id, CAST((c_custkey - (SELECT min(c_custkey) FROM customer)) // 100 AS INT) AS part, "
+       "string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS codes FROM customer GROUP BY ALL")
+def long_category_lists(spark, sf_dir):
+    """One coding of all customers, in parts of a hundred codes."""
+    offered = data.table(spark, sf_dir, "customer").selectExpr("'all' AS encoding_id", "c_custkey AS pos", "CAST(c_custkey AS string) AS code")
+    return types.category_lists(offered, max_codes=100).select("encoding_id", "part", F.array_join("codes", ",").alias("codes"))
+
+
+@query(f"""{TYPES_SQL} SELECT pos, udi AS name, CASE WHEN branch = 'categorical' THEN
+CASE WHEN n <= 256 THEN 'smallint' WHEN n <= 65536 THEN 'int' ELSE 'bigint' END ELSE spark_type END AS type,
+NOT (branch = 'regular' AND target = 'int') AS nullable FROM s""")
+def storage_columns(spark, sf_dir):
+    """Types and nullability of a typed extract with categories as positions."""
+    return types.storage_fields(_resolved(spark, sf_dir), index_categories=True).drop("problem")
+
+
+@query("""
+SELECT 'Type' AS kind, p_type AS source_type, '%d/%m/%Y' AS fmt FROM part GROUP BY p_type HAVING max(p_partkey) % 2 = 0
+UNION ALL SELECT * FROM (VALUES ('Type', 'Date', '%Y-%m-%d'), ('Type', 'Time', '%Y-%m-%d %H:%M:%S'), ('Encoding_type', 'ERROR', '%Y-%m-%d')) AS t
+""")
+def date_typed_keys(spark, sf_dir):
+    """Source types that are dates, in any spelling of the word, with their formats."""
+    overrides = data.table(spark, sf_dir, "part").selectExpr(
+        "'Type' AS kind", "p_type AS source_type", "IF(p_partkey % 2 = 0, 'Date', 'float') AS target",
+        "IF(p_partkey % 2 = 0, '%d/%m/%Y', NULL) AS fmt", "CAST(p_partkey + 1 AS int) AS priority",
+    )
+    return types.date_typed_keys(types.override_type_map(types.type_map(spark), overrides)).select("kind", "source_type", "fmt")
 
 
 @query(f"{TYPES_SQL} SELECT pos, udi, branch, spark_type FROM s WHERE branch = 'categorical' OR target <> 'date'")
@@ -663,6 +697,32 @@ def indexed_lineitem(spark, sf_dir):
     return _typed(spark, sf_dir, index_categories=True)
 
 
+@query(LINEITEM_SQL.format(
+    line="CAST(l_linenumber - 1 AS SMALLINT)", flag="CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'R' THEN 1 END AS SMALLINT)",
+    more=", 'Line ' || l_linenumber AS l_linenumber_meaning, "
+         "CASE l_returnflag WHEN 'A' THEN 'Accepted' WHEN 'R' THEN 'Returned' END AS l_returnflag_meaning"))
+def decoded_indexed(spark, sf_dir):
+    """Positions decoded by their place in the list."""
+    typed = _typed(spark, sf_dir, index_categories=True)
+    return decode_columns(typed, {"l_linenumber": "11", "l_returnflag": "12"}, data.lineitem_codings(spark))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN day(o_orderdate) = 1 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS o_orderdate,
+       CASE WHEN day(o_orderdate) = 1 THEN 'first of ' || strftime(o_orderdate, '%Y-%m') END AS o_orderdate_meaning FROM orders
+""")
+def decoded_dates(spark, sf_dir):
+    """Dates as codes."""
+    kinds = {"o_orderkey": ("Sequence", None), "o_orderdate": ("Categorical (single)", ("31", 200, "ERROR"))}
+    cells = data.table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS string)", "date_format(o_orderdate, 'yyyy-MM-dd') AS o_orderdate")
+    firsts = cells.where("o_orderdate LIKE '%-01'").select("o_orderdate").distinct()
+    codes = firsts.selectExpr(
+        "'31' AS encoding_id", "CAST(replace(o_orderdate, '-', '') AS bigint) AS pos", "o_orderdate AS code",
+        "concat('first of ', left(o_orderdate, 7)) AS meaning", "CAST(NULL AS string) AS selectable", "false AS is_hierarchical")
+    plan = plan_columns(spark, cells.columns, data.column_dictionary(spark, kinds), codes)
+    return decode_columns(cast_extract(cells, plan, "utf-8"), {"o_orderdate": "31"}, codes)
+
+
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS TIMESTAMP) AS moment, CAST(o_custkey AS BIGINT) AS whole, o_totalprice AS number FROM orders")
 def cast_cells(spark, sf_dir):
     """Each cast on text made from its column."""
@@ -685,15 +745,20 @@ def closed_domain(spark, sf_dir):
     return data.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{closed} AS l_returnflag")
 
 
-@query("""
-SELECT 'l_orderkey' AS name, 'bigint' AS dtype, count(l_orderkey) AS non_null FROM lineitem
-UNION ALL SELECT 'l_quantity', 'double', count(*) FILTER (WHERE l_quantity > 10) FROM lineitem
-UNION ALL SELECT 'l_returnflag', 'string', count(*) FILTER (WHERE l_returnflag <> 'N') FROM lineitem
-""")
+PROFILED = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+    "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+    "l_shipdate": "timestamp_ntz",
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS name, '{kind}' AS dtype, count({name}) FILTER (WHERE l_linenumber <> {i + 1}) AS non_null FROM lineitem"
+    for i, (name, kind) in enumerate(PROFILED.items())))
 def column_profile(spark, sf_dir):
     """C8."""
     return profile_columns(data.table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey", "IF(l_quantity > 10, l_quantity, NULL) AS l_quantity", "nullif(l_returnflag, 'N') AS l_returnflag"
+        *[f"CAST(IF(l_linenumber <> {i + 1}, {name}, NULL) AS {kind}) AS {name}" for i, (name, kind) in enumerate(PROFILED.items())]
     ))
 
 

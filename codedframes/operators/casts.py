@@ -11,9 +11,11 @@ costs about twice the time on wide rows, because every layer copies the row.
 from __future__ import annotations
 
 import math
+import re
+from decimal import Decimal
 
 from ..functions.fixed import NA_TOKENS
-from ..functions.text import cp1252_from_latin1, has_clock, missing_to_null, present, quote_text, spark_pattern
+from ..functions.text import cp1252_from_latin1, has_clock, missing_to_null, quote_text, spark_pattern
 
 SHORT_LIST = 64
 
@@ -42,12 +44,12 @@ def _refused(name: str, kind: str) -> str:
 # missing-value token. The second attempt is for exponents, infinities, blanks.
 _PLAIN_NUMBER = "try_cast(concat({0}, 'e0') AS DOUBLE)"
 _OTHER_NUMBER = (
-    "IF(right(x, 1) IN ('d', 'D', 'f', 'F', 'n', 'N') AND NOT lower(trim(x)) LIKE '%inf', NULL, try_cast(x AS DOUBLE))"
+    "IF(right(x, 1) IN ('d', 'D', 'f', 'F', 'n', 'N') AND NOT lower(trim(x)) LIKE '%inf' OR x RLIKE '[xXpP]', NULL, try_cast(x AS DOUBLE))"
 )
 # Text such as "3.0" is a whole number too.
 _PLAIN_WHOLE = "try_cast({0} AS BIGINT)"
 _OTHER_WHOLE = (
-    "IF(right(x, 1) <= '9' AND try_cast(x AS DOUBLE) = floor(try_cast(x AS DOUBLE)), "
+    "IF(right(x, 1) <= '9' AND NOT x RLIKE '[xXpP]' AND try_cast(x AS DOUBLE) = floor(try_cast(x AS DOUBLE)), "
     "try_cast(try_cast(x AS DOUBLE) AS BIGINT), NULL)"
 )
 
@@ -82,9 +84,11 @@ def to_day(name: str, cell: str, fmt: str) -> str:
 def to_timestamp(name: str, cell: str, fmt: str) -> str:
     if not has_clock(fmt):
         return f"CAST({to_day(name, cell, fmt)} AS TIMESTAMP_NTZ)"
-    # There is no lenient parser without a time zone; tokens are sorted out first.
-    plain = f"to_timestamp_ntz({cell}, {quote_text(spark_pattern(fmt))})"
-    return f"CASE WHEN {present(cell)} THEN {_strict(name, cell, plain, None, f'date of format {fmt}')} END"
+    # Only the parser with a time zone is lenient: it says whether the cell fits, at a fixed offset, so that the
+    # session's zone and its gaps play no part; the value comes from the parser without one.
+    fits = f"try_to_timestamp(concat({cell}, ' +0000'), {quote_text(spark_pattern(fmt) + ' xx')}) IS NOT NULL"
+    plain = f"IF({fits}, to_timestamp_ntz({cell}, {quote_text(spark_pattern(fmt))}), NULL)"
+    return _strict(name, cell, plain, None, f"date of format {fmt}")
 
 
 def to_text(cell: str, latin1: bool = False) -> str:
@@ -117,24 +121,54 @@ def category_value(cell: str, spark_type: str, latin1: bool = False) -> str:
     return f"CASE WHEN {cell} IS NOT NULL THEN coalesce({plain.format(cell)}, {_rarely(cell, other)}) END"
 
 
+#: What counts as a number in a coding table, in Python and in Spark alike.
+CODE_NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+
+
+def code_literal(code: str | None, spark_type: str) -> str | None:
+    """A code as a SQL literal of the value type, None if it is no such value: "1.0" is the whole number 1."""
+    if code is None or spark_type == "string":
+        return None if code is None else quote_text(code)
+    if not re.fullmatch(CODE_NUMBER, code.strip(" ")):
+        return None
+    if spark_type == "double":
+        number = float(code) + 0.0
+        return f"{number!r}D" if math.isfinite(number) else None
+    number = Decimal(code.strip(" "))
+    whole = number == number.to_integral_value() and -(2**63) <= number < 2**63
+    return f"CAST('{int(number)}' AS BIGINT)" if whole else None
+
+
+def code_value(spark_type: str, code: str = "code") -> str:
+    """`code_literal` for a column of codes, as a SQL expression."""
+    if spark_type == "string":
+        return code
+    read = f"try_cast(trim({code}) AS {'DOUBLE' if spark_type == 'double' else 'DECIMAL(38, 18)'})"
+    if spark_type == "double":
+        value = f"IF(abs({read}) < double('Infinity'), {read} + 0D, NULL)"
+    else:
+        value = f"coalesce(try_cast(trim({code}) AS BIGINT), IF({read} = floor({read}), try_cast({read} AS BIGINT), NULL))"
+    return f"CASE WHEN trim({code}) RLIKE {quote_text('^' + CODE_NUMBER + '$')} THEN {value} END"
+
+
+def dated_value(code: str, fmt: str) -> str:
+    """A code as a date or time of a format, NULL when it is none."""
+    pattern = spark_pattern(fmt)
+    if not has_clock(fmt):
+        return f"try_to_date({code}, {quote_text(pattern)})"
+    fits = f"try_to_timestamp(concat({code}, ' +0000'), {quote_text(pattern + ' xx')}) IS NOT NULL"
+    return f"IF({fits}, to_timestamp_ntz({code}, {quote_text(pattern)}), NULL)"
+
+
 def category_literals(codes, spark_type: str, name: str) -> list[str]:
     """A list of codes as SQL literals of the value type, without repeats."""
-    values = {}
+    literals = {}
     for code in codes:
-        try:
-            if spark_type == "double":
-                key = float(code)
-                if not math.isfinite(key):
-                    raise ValueError
-                values[key] = f"{key!r}D"
-            elif spark_type == "bigint":
-                key = int(code)
-                values[key] = f"{key}L"
-            else:
-                values[code] = quote_text(code)
-        except (TypeError, ValueError):
-            raise ValueError(f"Column {name}: code {code!r} does not fit the coding's type") from None
-    return list(values.values())
+        literal = code_literal(code, spark_type)
+        if literal is None:
+            raise ValueError(f"Column {name}: code {code} does not fit its coding")
+        literals[literal] = None
+    return list(literals)
 
 
 def close_domain(value: str, literals: list[str], spark_type: str) -> str:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import quote_name, quote_text
-from .joins import BROADCAST_BYTES, lookup_join
+from .casts import code_value, dated_value
+from .joins import BROADCAST_BYTES, lookup_join, measured_bytes
+from .types import usable_codes
 
 LITERAL_CODES = 64
 KEY = "__code"
@@ -32,12 +34,26 @@ def _compared_as(kind: str) -> str:
     return "double" if kind in ("float", "double") else "string"
 
 
-def coding_lookup(encodings: DataFrame, encoding_id: str, kind: str) -> DataFrame:
-    """`code, meaning` of one coding with unique codes; the first row counts."""
+def coding_lookup(encodings: DataFrame, encoding_id: str, kind: str, how: dict | None = None) -> DataFrame:
+    """`code, meaning` of one coding with unique codes; the first row counts.
+
+    `how` is a typed column's metadata: it says whether the column holds
+    positions in the list of usable codes, and in which format dates are coded.
+    """
+    how = how or {}
     rows = encodings.where(F.col("encoding_id") == str(encoding_id))
-    key = _comparable(F.col("code"), kind).alias("code")
+    if how.get("stored") == "position":
+        # One place per different value, in table order; the window spans one coding table.
+        value = F.expr(code_value(how["compared"]))
+        listed = usable_codes(rows).select(value.alias("value"), "pos", "meaning").where("value IS NOT NULL")
+        listed = listed.groupBy("value").agg(F.min("pos").alias("pos"), F.min_by("meaning", "pos").alias("meaning"))
+        place = F.row_number().over(Window.partitionBy().orderBy("pos")) - 1
+        return listed.select(place.cast("bigint").alias("code"), "meaning")
+    key = F.expr(code_value(kind))
+    if how.get("format"):
+        key = F.expr(f"CAST({dated_value('code', how['format'])} AS {how['dtype']})").cast("string")
     return (
-        rows.select(key, "pos", "meaning")
+        rows.select(key.alias("code"), "pos", "meaning")
         .where(F.col("code").isNotNull())
         .groupBy("code")
         .agg(F.min_by("meaning", "pos").alias("meaning"))
@@ -54,58 +70,52 @@ def decode_columns(
 ) -> DataFrame:
     """Add `<column><suffix>` for every `column: encoding_id` of `columns`.
 
-    An unknown code has no meaning. Codings with few codes become map literals
-    inside one projection, so decoding many columns adds no joins; longer ones
-    are joined.
+    An unknown code has no meaning. Columns of a typed load say in their
+    metadata how their codes are stored: as positions, or as dates of a format.
+    Each coding is read once for all columns that store it alike. Codings with
+    few codes become map literals inside one projection, so decoding many
+    columns adds no joins; longer ones are joined.
     """
-    dtypes = dict(frame.dtypes)
-    kinds = {name: _compared_as(dtypes[name]) for name in columns}
-    wanted = sorted({str(i) for i in columns.values()})
-    used = encodings.where(F.col("encoding_id").isin(wanted))
+    wanted: dict[tuple, dict] = {}
+    asks: dict[str, tuple] = {}
+    for name, i in columns.items():
+        field = frame.schema[name]
+        kind = _compared_as(field.dataType.simpleString())
+        said = field.metadata or {}
+        how = {k: said[k] for k in ("stored", "compared", "format") if said.get(k)}
+        if how.get("format"):
+            how["dtype"] = field.dataType.simpleString()
+        asks[name] = (str(i), kind, *sorted(how.items()))
+        wanted[asks[name]] = how
+    used = encodings.where(F.col("encoding_id").isin(sorted({ask[0] for ask in wanted})))
     sizes = {r["encoding_id"]: r["count"] for r in used.groupBy("encoding_id").count().collect()}
-    few = [i for i in wanted if sizes.get(i, 0) <= literal_codes]
-    by_id: dict[str, list] = {i: [] for i in few}
-    for r in used.where(F.col("encoding_id").isin(few)).select("encoding_id", "pos", "code", "meaning").collect():
-        by_id[r["encoding_id"]].append(r)
-
+    lookups = {ask: coding_lookup(encodings, ask[0], ask[1], how) for ask, how in wanted.items()}
+    few = [ask for ask in wanted if sizes.get(ask[0], 0) <= literal_codes]
+    maps: dict[tuple, dict] = {ask: {} for ask in few}
+    if few:
+        tagged = [lookups[ask].select(F.lit(n).alias("n"), F.col("code").cast("string").alias("code"), "meaning") for n, ask in enumerate(few)]
+        for r in reduce(DataFrame.unionByName, tagged).collect():
+            maps[few[r["n"]]][r["code"]] = r["meaning"]
     literals = [
-        f"{_literal_meaning(name, by_id[str(i)], kinds[name])} AS {quote_name(name + suffix)}"
-        for name, i in columns.items()
-        if str(i) in by_id
+        f"{_literal_meaning(name, maps[ask], ask[1])} AS {quote_name(name + suffix)}" for name, ask in asks.items() if ask in maps
     ]
     out = frame.selectExpr("*", *literals) if literals else frame
-    for name, i in columns.items():
-        if str(i) not in by_id:
-            lookup = coding_lookup(encodings, i, kinds[name]).withColumnsRenamed({"code": KEY, "meaning": name + suffix})
-            key = _comparable(F.col(quote_name(name)), kinds[name]).alias(KEY)
-            out = lookup_join(out.select("*", key), lookup, KEY, max_broadcast_bytes, frame.select(key)).drop(KEY)
+    measured = {ask: measured_bytes(lookups[ask]) for ask in wanted if ask not in maps}
+    for name, ask in asks.items():
+        if ask not in maps:
+            lookup = lookups[ask].withColumnsRenamed({"code": KEY, "meaning": name + suffix})
+            key = _comparable(F.col(quote_name(name)), ask[1]).alias(KEY)
+            joined = lookup_join(out.select("*", key), lookup, KEY, max_broadcast_bytes, frame.select(key), measured[ask])
+            out = joined.drop(KEY)
     names = [quote_name(n) for n in [*frame.columns, *[c + suffix for c in columns]]]
     return out.selectExpr(*names)
 
 
-def _literal_meaning(name: str, rows: list, kind: str) -> str:
-    meanings: dict = {}
-    for r in sorted(rows, key=lambda r: r["pos"]):
-        literal = _literal(r["code"], kind)
-        if literal is not None:
-            meanings.setdefault(literal, "CAST(NULL AS STRING)" if r["meaning"] is None else quote_text(r["meaning"]))
+def _literal_meaning(name: str, meanings: dict, kind: str) -> str:
     if not meanings:
         return "CAST(NULL AS STRING)"
-    pairs = ", ".join(f"{code}, {meaning}" for code, meaning in meanings.items())
+    pairs = ", ".join(
+        f"CAST({quote_text(code)} AS {kind}), {'CAST(NULL AS STRING)' if meaning is None else quote_text(meaning)}"
+        for code, meaning in sorted(meanings.items())
+    )
     return f"try_element_at(map({pairs}), CAST({quote_name(name)} AS {kind}))"
-
-
-def _literal(code: str | None, kind: str) -> str | None:
-    """A code as a SQL literal, None when it is no value of that kind."""
-    if code is None or kind == "string":
-        return None if code is None else quote_text(code)
-    try:
-        whole = kind == "bigint" and code.strip().lstrip("+-").isdigit()
-        value = int(code) if whole else float(code) + 0.0
-    except ValueError:
-        return None
-    if kind == "double":
-        return f"{value!r}D" if math.isfinite(value) else None
-    if not -(2**63) < value < 2**63 or value != int(value):
-        return None
-    return f"{int(value)}L"

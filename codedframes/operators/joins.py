@@ -9,7 +9,6 @@ from ..functions.text import quote_name
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1000
-SPREAD_COLUMNS = 64
 
 
 def measured_bytes(frame: DataFrame) -> int:
@@ -37,34 +36,22 @@ def lookup_join(
     key: str,
     max_broadcast_bytes: int = BROADCAST_BYTES,
     counted: DataFrame | None = None,
+    size: int | None = None,
 ) -> DataFrame:
     """`facts LEFT JOIN lookup USING (key)`, where the lookup has unique keys.
 
     A lookup that measures small is broadcast, so the facts are not shuffled.
     A larger one is shuffled against the facts. The rows of hot keys, and rows
-    without a key, are then spread over all tasks by a second join column; hot
-    keys find their few lookup rows by a broadcast instead. `counted` is a
-    cheaper frame with the same key column to find the hot keys in.
+    without a key, are read apart and never shuffled: they stay in the tasks
+    that read them, and hot keys find their few lookup rows by a broadcast.
+    `counted` is a cheaper frame with the same key column to find the hot keys
+    in, `size` the lookup's bytes where they were measured before.
     """
-    if measured_bytes(lookup) <= max_broadcast_bytes:
+    if (measured_bytes(lookup) if size is None else size) <= max_broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, "left")
     hot = hot_keys(facts if counted is None else counted, key)
-    found = [c for c in lookup.columns if c != key]
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    row = F.xxhash64(*[F.col(quote_name(c)) for c in facts.columns[:SPREAD_COLUMNS]])
-    spread = facts.withColumns({
-        "__cold": F.when(~is_hot, F.col(key)),
-        "__slot": F.when(is_hot | F.col(key).isNull(), row).otherwise(F.lit(0).cast("bigint")),
-    })
-    cold = lookup.select(
-        F.col(key).alias("__cold"), F.lit(0).cast("bigint").alias("__slot"),
-        *[F.col(quote_name(c)).alias(f"__cold_{i}") for i, c in enumerate(found)],
-    )
-    few = lookup.where(is_hot).select(key, *[F.col(quote_name(c)).alias(f"__hot_{i}") for i, c in enumerate(found)])
+    apart = F.col(key).isNull() | (F.col(key).isin(hot) if hot else F.lit(False))
     # Fewer than 1,000 keys are hot and each has one lookup row.
-    joined = spread.join(cold, ["__cold", "__slot"], "left").join(F.broadcast(few), key, "left")
-    return joined.select(
-        F.col(key),
-        *[F.col(quote_name(c)) for c in facts.columns if c != key],
-        *[F.coalesce(f"__hot_{i}", f"__cold_{i}").alias(c) for i, c in enumerate(found)],
-    )
+    few = lookup.where(F.col(key).isin(hot) if hot else F.lit(False))
+    kept = facts.where(apart).join(F.broadcast(few), key, "left")
+    return facts.where(~apart).join(lookup, key, "left").unionByName(kept)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -219,40 +219,40 @@ def offered_codes(resolved: DataFrame, encodings: DataFrame) -> DataFrame:
 
 
 def category_lists(offered: DataFrame, max_codes: int = LIST_CODES) -> DataFrame:
-    """`encoding_id, codes`: each coding's codes as a list, in table order.
+    """`encoding_id, part, codes`: each coding's codes as lists, in table order.
 
-    Codings with more than `max_codes` rows stay frames (`long_codings`), so no
-    list is longer than that.
+    A list has at most `max_codes` codes; a longer coding goes on in further
+    parts, counted from 0. No coding and no code is left out.
     """
     keys = [c for c in ("dict_id", "encoding_id") if c in offered.columns]
-    short = offered.groupBy(keys).count().where(F.col("count") <= max_codes).select(keys)
+    place = F.row_number().over(Window.partitionBy(keys).orderBy("pos", "code")) - 1
     pairs = F.sort_array(F.collect_list(F.struct("pos", "code")))
     return (
-        offered.join(short, keys, "left_semi")
-        .groupBy(keys)
+        offered.withColumn("part", F.floor(place / max_codes).cast("int"))
+        .groupBy(*keys, "part")
         .agg(F.transform(pairs, lambda p: p["code"]).alias("codes"))
     )
 
 
-def long_codings(offered: DataFrame, max_codes: int = LIST_CODES) -> DataFrame:
-    """Codings that have too many rows for a list."""
-    keys = [c for c in ("dict_id", "encoding_id") if c in offered.columns]
-    return offered.groupBy(keys).count().where(F.col("count") > max_codes).select(keys)
+def storage_fields(resolved: DataFrame, index_categories: bool = False) -> DataFrame:
+    """`pos, name, type, nullable, problem` of the typed extract's columns."""
+    indexed = (F.col("branch") == "categorical") & F.lit(index_categories)
+    required = (F.col("branch") == "regular") & F.col("target").isin(*REQUIRED_TARGETS)
+    empty = indexed & F.col("index_type").isNull()
+    return resolved.select(
+        "pos", F.col("udi").alias("name"), F.when(indexed, F.col("index_type")).otherwise(F.col("spark_type")).alias("type"),
+        (~required).alias("nullable"),
+        F.coalesce("problem", F.when(empty, "a category index needs at least one category")).alias("problem"),
+    )
 
 
 def storage_schema(resolved: DataFrame, index_categories: bool = False) -> T.StructType:
     """The schema of the typed extract; one small row per column is collected."""
-    rows = resolved.orderBy("pos").select("udi", "target", "spark_type", "branch", "index_type", "problem").collect()
+    rows = storage_fields(resolved, index_categories).withColumnRenamed("name", "udi").orderBy("pos").collect()
     raise_problems(rows)
-    fields = []
-    for r in rows:
-        indexed = index_categories and r["branch"] == "categorical"
-        if indexed and r["index_type"] is None:
-            raise ValueError(f"Column {r['udi']}: a category index needs at least one category")
-        kind = r["index_type"] if indexed else r["spark_type"]
-        required = r["branch"] == "regular" and r["target"] in REQUIRED_TARGETS
-        fields.append(f"{quote_name(r['udi'])} {kind}{' NOT NULL' if required else ''}")
-    return T.StructType.fromDDL(", ".join(fields))
+    return T.StructType.fromDDL(
+        ", ".join(f"{quote_name(r['udi'])} {r['type']}{'' if r['nullable'] else ' NOT NULL'}" for r in rows)
+    )
 
 
 def raise_problems(rows) -> None:

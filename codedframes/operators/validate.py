@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
+
 
 def header_matches(header: DataFrame, dictionary: DataFrame) -> DataFrame:
     """`pos, udi, matches`: dictionary rows per header name."""
     scope = [c for c in ("dict_id",) if c in header.columns and c in dictionary.columns]
     counts = dictionary.groupBy(*scope, F.col("UDI").alias("udi")).agg(F.count("*").alias("matches"))
-    return header.join(counts, [*scope, "udi"], "left").select(
+    joined = header.join(counts, [*scope, "udi"], "left") if scope else lookup_join(header, counts, "udi")
+    return joined.select(
         *scope, "pos", "udi", F.coalesce("matches", F.lit(0)).cast("bigint").alias("matches")
     )
 
@@ -25,7 +28,10 @@ def header_rows(header: DataFrame, dictionary: DataFrame) -> DataFrame:
     from .types import first_rows
 
     scope = [c for c in ("dict_id",) if c in header.columns and c in dictionary.columns]
-    return header.join(first_rows(dictionary).where("matches = 1").drop("matches"), [*scope, "udi"])
+    rows = first_rows(dictionary).where("matches = 1").drop("matches")
+    if scope:
+        return header.join(rows, [*scope, "udi"])
+    return lookup_join(header, rows.withColumn("__found", F.lit(True)), "udi").where("__found").drop("__found")
 
 
 def check_header(header: DataFrame, dictionary: DataFrame) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.order import first_files, list_files, with_row_index
 from ..operators.types import type_map
-from ..sinks.parquet import check_output, repartition, write_manifest, write_parquet
+from ..sinks.parquet import check_output, check_outputs_apart, repartition, write_manifest, write_parquet
 from ..sources.codings import ID_PATTERN, read_coding_files, route_encodings
 from ..sources.dictionary import parse_dictionary, parse_encodings, read_pages
 from ..sources.extract import read_header, scan_extract
@@ -79,6 +79,7 @@ def convert(
     """
     named = dict(specs) if isinstance(specs, Mapping) else {str(i): s for i, s in enumerate(specs)}
     inputs = tuple(p for p in (extract_path, dictionary_path, coding_path) if p)
+    check_outputs_apart(spark, {name: spec.out_path for name, spec in named.items()})
     for spec in named.values():
         check_output(spark, spec.out_path, spec.force, inputs)
     dictionary, encodings = load_dictionary(spark, dictionary_path, coding_path, id_pattern)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import CATEGORICAL_TYPES, MAX_CATEGORIES
-from ..functions.text import quote_name
-from ..operators.casts import cast_cell, category_index, category_literals, category_value, close_domain
+from ..functions.text import quote_name, quote_text
+from ..operators.casts import cast_cell, category_index, category_literals, category_value, close_domain, code_value
 from ..operators.joins import BROADCAST_BYTES, lookup_join
 from ..operators.types import (
     LIST_CODES,
@@ -104,13 +104,17 @@ def cast_extract(
             dated = r["target"] in ("date", "day")
             compared = "string" if dated else kind
             value = category_value(cell, compared, latin1)
-            metadata[name] = {"encoding_id": r["Encoding_id"]}
+            metadata[name] = {
+                "encoding_id": r["Encoding_id"], "stored": "position" if index_categories else "code", "compared": compared,
+                "format": r["fmt"] if dated else None,
+            }
             if r["Encoding_id"] in plan.long_ids:
                 joined.append(r)
             else:
                 codes = plan.lists[r["Encoding_id"]]
                 literals = category_literals(codes, compared, name)
                 metadata[name]["categories"] = list(dict.fromkeys(codes))
+                check_width(name, len(literals), r["index_type"] if index_categories else None)
                 if index_categories:
                     value = category_index(value, literals, r["index_type"])
                 else:
@@ -130,17 +134,19 @@ def _close_by_join(
     """A closed list that is too long for literals: a left join on its codes."""
     name, cell, kind = row["udi"], quote_name(row["udi"]), row["spark_type"]
     dated = row["target"] in ("date", "day")
-    value = "code" if dated else f"try_cast(code AS {kind})"
+    value = code_value("string" if dated else kind)
+    message = f"concat({quote_text(f'Column {name}: code ')}, coalesce(code, 'NULL'), {quote_text(' does not fit its coding')})"
+    refused = f"raise_error({message})"
     listed = (
         codes.where(F.col("encoding_id") == row["Encoding_id"])
-        .selectExpr(f"{value} AS __value", "pos")
-        .where("__value IS NOT NULL")
+        .selectExpr(f"coalesce({value}, {refused}) AS __value", "pos")
         .groupBy("__value")
         .agg(F.min("pos").alias("__pos"))
     )
     if index_categories:
         # Places are counted over one coding table's rows.
         listed = listed.selectExpr("__value", "row_number() OVER (ORDER BY __pos) - 1 AS __pos")
+        check_width(name, listed.count(), row["index_type"])
     key = f"{cell} AS __value"
     joined = lookup_join(frame.selectExpr("*", key), listed, "__value", max_broadcast_bytes, base.selectExpr(key))
     if index_categories:
@@ -152,6 +158,15 @@ def _close_by_join(
     return joined.selectExpr(*order)
 
 
+INDEX_LIMITS = {"smallint": 1 << 15, "int": 1 << 31, "bigint": 1 << 63}
+
+
+def check_width(name: str, codes: int, index_type: str | None) -> None:
+    """Refuse a list that is longer than the positions of its declared size can hold."""
+    if index_type and codes > INDEX_LIMITS[index_type]:
+        raise ValueError(f"Column {name}: {codes} codes do not fit positions of type {index_type}; the dictionary declares fewer")
+
+
 def _describe(frame: DataFrame, metadata: dict) -> DataFrame:
     """Attach category lists to the columns' metadata, for all columns at once.
 

@@ -35,17 +35,16 @@ def check_output(spark: SparkSession, path: str, force: bool = False, inputs: tu
 
 
 def repartition(frame: DataFrame, partitions: int | None) -> DataFrame:
-    """Bring a frame to a number of partitions; None or 0 keeps them.
+    """Deal a frame's rows out evenly to a number of partitions; None or 0 keeps them as they are."""
+    return frame.repartition(partitions) if partitions else frame
 
-    Fewer partitions are made by merging neighbours, without a shuffle, as long
-    as the cluster stays busy; otherwise the rows are dealt out evenly.
-    """
-    if not partitions:
-        return frame
-    if partitions >= frame.sparkSession.sparkContext.defaultParallelism:
-        if partitions < frame.rdd.getNumPartitions():
-            return frame.coalesce(partitions)
-    return frame.repartition(partitions)
+
+def check_outputs_apart(spark: SparkSession, paths: Mapping[str, str]) -> None:
+    """Refuse output folders that are equal or lie in one another: one write would replace another's result."""
+    full = sorted((_path(spark, path)[1].toString().rstrip("/") + "/", name) for name, path in paths.items())
+    for (outer, a), (inner, b) in zip(full, full[1:]):
+        if inner.startswith(outer):
+            raise ValueError(f"Outputs {a} and {b} share a folder: {inner.rstrip('/')} lies in {outer.rstrip('/')}")
 
 
 def write_parquet(
@@ -65,8 +64,12 @@ def write_parquet(
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """`file, rows` of a written folder; the counts come from the file footers."""
-    return spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    """`file, rows` of every file of a written folder, those without rows included."""
+    counted = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(F.col("path").alias("file"))
+    bare = F.regexp_replace("file", "^file:/+", "file:///")
+    return files.withColumn("file", bare).join(counted.withColumn("file", bare), "file", "left").withColumn(
+        "rows", F.coalesce("rows", F.lit(0)))
 
 
 def write_manifest(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
@@ -40,11 +39,8 @@ def write_extract(
 
 
 def workspace(spark) -> str:
-    """A new folder under the shared checkpoint folder of the cluster.
-
-    Only a session without that setting (a local test) gets a temporary one.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="codedframes-")
+    """A new folder under the shared checkpoint folder of the cluster, or else below its warehouse folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/codedframes-{uuid.uuid4().hex}"
 
 
