@@ -207,11 +207,12 @@ def page_codings(spark, sf_dir):
     return pages.parse_encodings(data.coding_pages(spark, sf_dir))
 
 
-@query(f"WITH {FILE_CODINGS_SQL} SELECT encoding_id, pos, code, meaning, coalesce(parent_id, '') AS parent_id, coalesce(selectable, '') AS selectable "
-       "FROM e WHERE CAST(encoding_id AS BIGINT) % 3 <> 1")
+@query(f"WITH {FILE_CODINGS_SQL} SELECT encoding_id, pos, code, meaning, coalesce(parent_id, '') AS parent_id, coalesce(selectable, '') AS selectable, "
+       "CAST(pos + 500 AS VARCHAR) AS node_id FROM e WHERE CAST(encoding_id AS BIGINT) % 3 <> 1")
 def file_codings(spark, sf_dir):
     """S10."""
-    return codings.read_coding_files(spark, data.coding_folder(spark, sf_dir), data.CODING_FOLDER_ID, strict=False)
+    rows = codings.read_coding_files(spark, data.coding_folder(spark, sf_dir), data.CODING_FOLDER_ID, strict=False)
+    return rows.select("encoding_id", "pos", "code", "meaning", "parent_id", "selectable", F.col("others")["node_id"].alias("node_id"))
 
 
 @query(f"WITH {FILE_CODINGS_SQL} SELECT DISTINCT encoding_id FROM e WHERE CAST(encoding_id AS BIGINT) % 3 = 1")
@@ -232,7 +233,7 @@ routed AS (
 
 def _routed(spark, sf_dir):
     on_page = pages.parse_encodings(data.coding_pages(spark, sf_dir, data.FILE_CODING_SIZE)).drop("dict_id")
-    in_files = file_codings(spark, sf_dir)
+    in_files = file_codings(spark, sf_dir).drop("node_id")
     return codings.route_encodings(data.part_dictionary(spark, sf_dir), on_page, in_files)
 
 

@@ -31,10 +31,14 @@ class CodedDictionary:
         return self.spark.range(1).select(F.lit(str(value)).alias("key"))
 
     def _table(self, rows: DataFrame, what: str) -> DataFrame:
-        found = rows.orderBy("pos").select(F.col("pos").alias("#"), F.col("code").alias("Code"), F.col("meaning").alias("Meaning"))
-        if found.isEmpty():
+        first = rows.orderBy("pos").first()
+        if first is None:
             raise ValueError(f"No coding table for {what}")
-        return found
+        # A coding from a file has all columns of the file; one on the page has these three.
+        more = [F.col(c) for c in ("parent_id", "selectable") if first.asDict().get(c) is not None]
+        more += [F.col("others")[name].alias(name) for name in first.asDict().get("others") or {}]
+        return rows.orderBy("pos").select(
+            F.col("pos").alias("#"), F.col("code").alias("Code"), F.col("meaning").alias("Meaning"), *more)
 
     def get_encoding_table(self, encoding_id) -> DataFrame:
         """`#, Code, Meaning` of a coding; a number and its text are the same id."""

@@ -30,9 +30,10 @@ def rejected_codings(texts: DataFrame) -> DataFrame:
 def parse_coding_texts(
     texts: DataFrame, skip_lines: int = CODING_FILE_SKIP_LINES, strict: bool = True
 ) -> DataFrame:
-    """`encoding_id, pos, code, meaning, parent_id, selectable`.
+    """`encoding_id, pos, code, meaning, parent_id, selectable, others`.
 
-    The header is the line after `skip_lines`. A file with the download-error
+    `others` maps the header's other names, such as `node_id`, to their cells,
+    so nothing of a file is lost. The header is the line after `skip_lines`. A file with the download-error
     page fails the job when `strict`, else it is left out.
     """
     bad = F.col("content").contains(BAD_DOWNLOAD_TEXT)
@@ -63,10 +64,17 @@ def parse_coding_texts(
             named("meaning"),
             named("parent_id"),
             named("selectable"),
+            _others(F.col("names"), fields).alias("others"),
         )
     )
 
 
+def _others(names: Column, fields: Column) -> Column:
+    known = F.array(*[F.lit(n) for n in ("coding", "meaning", "parent_id", "selectable")])
+    pairs = F.transform(names, lambda n, i: F.struct(n.alias("name"), F.get(fields, i).alias("cell")))
+    return F.map_from_entries(F.filter(pairs, lambda p: p["name"].isNotNull() & ~F.array_contains(known, p["name"])))
+
+
 def _fields(line: Column) -> Column:
     """Tab-separated fields, without the quotes around quoted ones."""
     quoted = r'^"(.*)"$'

@@ -260,9 +260,9 @@ def coding_folder(spark, sf_dir: str) -> str:
     a failed download. Ids are read from the folder names."""
 
     def write(path):
-        line = F.concat_ws("\t", "code", "meaning", F.coalesce("parent_id", F.lit("")), F.coalesce("selectable", F.lit("")))
+        line = F.concat_ws("\t", F.col("pos") + 500, "code", "meaning", F.coalesce("parent_id", F.lit("")), F.coalesce("selectable", F.lit("")))
         lines = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", line.alias("line")))), lambda r: r["line"]), "\n")
-        head = F.lit("header\n" * 7 + "coding\tmeaning\tparent_id\tselectable\n")
+        head = F.lit("header\n" * 7 + "node_id\tcoding\tmeaning\tparent_id\tselectable\n")
         failed = F.col("encoding_id").cast("bigint") % 3 == 1
         files = customer_codings(spark, sf_dir, FILE_CODING_SIZE).groupBy("encoding_id").agg(F.concat(head, lines).alias("body"))
         files.select(

@@ -24,8 +24,8 @@ def test_files_are_read_after_the_preamble(spark, folder):
     _write(folder, "encoding_table_78.txt", HEAD + "selectable\tcoding\r\nY\ta\r\n")
     rows = read_coding_files(spark, folder).orderBy("encoding_id", "pos").collect()
     assert [tuple(r) for r in rows] == [
-        ("77", 1, "-1", "Top", "0", "N"), ("77", 2, "5 01", 'Hand "left"', "1", "Y"), ("77", 3, "NA", "None", "1", "Y"),
-        ("78", 1, "a", None, None, "Y"),
+        ("77", 1, "-1", "Top", "0", "N", {"node_id": "1"}), ("77", 2, "5 01", 'Hand "left"', "1", "Y", {"node_id": "2"}),
+        ("77", 3, "NA", "None", "1", "Y", {"node_id": "3"}), ("78", 1, "a", None, None, "Y", {}),
     ]
 
 

@@ -27,8 +27,8 @@ def test_spanned_cells_are_repeated(dictionary):
     rows = {r["UDI"]: r for r in dictionary.collect()}
     for udi in ("12-0.0", "12-1.0", "12-2.0"):
         assert rows[udi]["Type"] == "Categorical (single)"
-        assert rows[udi]["Description"].startswith("Height & weight route Uses data-coding 502 comprises 4 Integer-valued")
-        assert (rows[udi]["Encoding_id"], rows[udi]["Encoding_num_members"], rows[udi]["Encoding_type"]) == ("502", 4, "Integer")
+        assert rows[udi]["Description"].startswith("Shelf & rack place Uses data-coding 502 comprises 3 Integer-valued")
+        assert (rows[udi]["Encoding_id"], rows[udi]["Encoding_num_members"], rows[udi]["Encoding_type"]) == ("502", 3, "Integer")
     assert rows["14-1.0"]["Description"] == "Device café€ label"
     assert rows["20-0.0"]["Is_hierarchical"] and not rows["12-0.0"]["Is_hierarchical"]
     assert rows["eid"]["Encoding_id"] is None and not rows["eid"]["Has_encoding"]
@@ -51,9 +51,9 @@ def test_coding_tables(pages):
     codes = {}
     for r in rows:
         codes.setdefault(r["encoding_id"], []).append((r["pos"], r["code"], r["meaning"]))
-    assert [c for _, c, _ in codes["501"]] == ["1", "2", "6", "7", "3"]
-    assert codes["501"][4] == (5, "3", "Unknown <5>")
-    assert codes["502"][3] == (4, "-1", "Not asked")
+    assert [c for _, c, _ in codes["501"]] == ["30", "10", "20", "55", "-7", "40"]
+    assert codes["501"][4] == (5, "-7", "Ferry <5 km>")
+    assert codes["502"][2] == (3, "-3", "Floor")
     assert codes["504"] == [(1, "A", "Alpha"), (2, "NA", "Not applicable"), (3, "b&c", "Both")]
     assert [(int(c), m) for _, c, m in codes["503"]] == CENTRES
 
@@ -70,13 +70,13 @@ def test_unescape(spark, text, expected):
 def test_single_key_lookups(spark, dictionary_file):
     book = CodedDictionary(spark, dictionary_file)
     assert book.info["Data columns:"] == "20"
-    expected = [(1, "1", "Direct entry"), (2, "2", "Manual entry"), (3, "6", "Not performed"), (4, "7", "Other"), (5, "3", "Unknown <5>")]
+    expected = [(1, "30", "Bus"), (2, "10", "Tram"), (3, "20", "Bicycle"), (4, "55", "On foot"), (5, "-7", "Ferry <5 km>"), (6, "40", "Van")]
     for table in (book.get_encoding_table(501), book.get_encoding_table("501"), book.get_encoding_by_data_field("11-0.0"),
                   book.get_encoding_by_data_field("11", is_udi=False)):
         assert table.columns == ["#", "Code", "Meaning"]
         assert [tuple(r) for r in table.collect()] == expected
-    assert book.get_human_readable_name("11-0.0") == "Scan route"
-    assert book.get_human_readable_name("12", is_udi=False) == "Height & weight route"
+    assert book.get_human_readable_name("11-0.0") == "Carried by"
+    assert book.get_human_readable_name("12", is_udi=False) == "Shelf & rack place"
     for call in (
         lambda: book.get_encoding_table("999"),
         lambda: book.get_encoding_by_data_field("no such"),
