@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from codedframes.llm.common import saved
 
-#: A repeated string has LENGTH bytes; buckets start as q-grams of GRAM bytes, and LENGTH is GRAM doubled twice.
-LENGTH, GRAM = 200, 50
+#: A repeated string has LENGTH bytes; buckets start as q-grams of GRAM bytes, which are doubled until they are as long.
+LENGTH, GRAM = 200, 100
 REACH = LENGTH - GRAM  # a string starts at most so far before its anchor
-#: A gram with more contexts than 1 / HOT_SHARE of all, and than HOT_LEAST, is counted by string instead of in one task.
-HOT_SHARE, HOT_LEAST, CHUNK = 2000, 256, 20_000
+#: A gram with more contexts than 1 / HOT_SHARE of all, or than CHUNK, is counted by string instead of in one task.
+HOT_SHARE, HOT_LEAST, CHUNK = 500, 256, 20_000
 
 _BASE, _UNBASE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _BYTES = np.random.default_rng(2024).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -126,7 +126,6 @@ def repeated(docs: DataFrame) -> DataFrame:
     3. One example of each different context of the rest is fetched, and the buckets are refined within their grams.
        Grams with very many contexts are not gathered: their strings are counted one by one, and equal ones meet early.
     """
-    spark = docs.sparkSession
     texts = docs.select(_key().alias("key"), F.col("text").cast("binary").alias("text")).where(f"length(text) >= {LENGTH}")
 
     def find(batches):
@@ -152,11 +151,10 @@ def repeated(docs: DataFrame) -> DataFrame:
         saved(many), (F.col("gram") == F.col("of_gram")) & (F.col("whole") == F.col("of_whole"))).selectExpr(*all_of)
 
     total = examples.count()
-    sizes = examples.groupBy("gram").count().where(f"count > {max(HOT_LEAST, total // HOT_SHARE)}")
-    hot = [r["gram"] for r in sizes.select("gram").collect()]  # fewer than HOT_SHARE
-    hot_rows = spark.createDataFrame([(g,) for g in hot], "hot_gram long")
-    wanted = examples.join(F.broadcast(hot_rows), F.col("gram") == F.col("hot_gram"), "left").selectExpr(
-        "example.key AS of_key", "struct(gram, n, example.at AS at, example.reach AS reach, hot_gram IS NOT NULL AS hot) AS item")
+    bound = min(max(HOT_LEAST, total // HOT_SHARE), CHUNK)
+    sizes = saved(examples.groupBy("gram").agg((F.count("*") > bound).alias("hot")).withColumnRenamed("gram", "of_gram"))
+    wanted = examples.join(sizes, F.col("gram") == F.col("of_gram")).selectExpr(
+        "example.key AS of_key", "struct(gram, n, example.at AS at, example.reach AS reach, hot) AS item")
     per_text = wanted.groupBy("of_key").agg(F.collect_list("item").alias("items"))
 
     def fetch(batches):
