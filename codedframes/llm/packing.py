@@ -99,15 +99,41 @@ def _exact(have: np.ndarray, gap: int) -> tuple[int, ...] | None:
     return None
 
 
+def _best_fit(have: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Bins of so many pieces of each length, best fit, longest first, whole groups of equal bins at a time."""
+    open_: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
+    for length in range(capacity, 0, -1):
+        left = int(have[length])
+        while left:
+            gap = next((g for g in range(length, capacity) if open_[g]), None)
+            if gap is None:
+                per = capacity // length
+                full, rest = divmod(left, per)
+                for n, k in ((full, per), (1, rest)):
+                    if n and k:
+                        open_[capacity - k * length].append(((length,) * k, n))
+                break
+            lengths, n = open_[gap].pop()
+            k = min(gap // length, max(1, left // n))
+            used = min(n, left // k)
+            open_[gap - k * length].append((lengths + (length,) * k, used))
+            if used < n:
+                open_[gap].append((lengths, n - used))
+            left -= used * k
+    return [x for group in open_.values() for x in group]
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Bins (lengths, how many such bins) for so many pieces of each length; its work depends on the capacity alone.
 
     From the longest length down, combinations of one, two or three lengths that exactly fill its gap are used up as far
-    as the counts go. What is left is packed best fit, longest first, whole groups of equal bins at a time.
+    as the counts go. What is left is packed best fit. Complements can use up short pieces that long ones need later, so
+    all pieces are packed best fit as well, and the plan of fewer bins is kept.
     """
     have = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         have[length] = n
+    plain = _best_fit(have, capacity)
     bins: list[tuple[tuple[int, ...], int]] = []
     if have[capacity]:
         bins.append(((capacity,), int(have[capacity])))
@@ -127,26 +153,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
                 for x, k in uses.items():
                     have[x] -= n * k
                 bins.append((lengths, n))
-    open_: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
-    for length in range(capacity, 0, -1):
-        left = int(have[length])
-        while left:
-            gap = next((g for g in range(length, capacity) if open_[g]), None)
-            if gap is None:
-                per = capacity // length
-                full, rest = divmod(left, per)
-                for n, k in ((full, per), (1, rest)):
-                    if n and k:
-                        open_[capacity - k * length].append(((length,) * k, n))
-                break
-            lengths, n = open_[gap].pop()
-            k = min(gap // length, max(1, left // n))
-            used = min(n, left // k)
-            open_[gap - k * length].append((lengths + (length,) * k, used))
-            if used < n:
-                open_[gap].append((lengths, n - used))
-            left -= used * k
-    return bins + [x for group in open_.values() for x in group]
+    bins += _best_fit(have, capacity)
+    return min(plain, bins, key=lambda found: sum(n for _, n in found))
 
 
 def slots(bins: list[tuple[tuple[int, ...], int]]) -> np.ndarray:

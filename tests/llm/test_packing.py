@@ -23,6 +23,18 @@ def test_plan_uses_every_piece_once(lengths):
     assert total <= max(least * 1.03 + 1, sum(n for x, n in counts.items() if x > 512))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_plan_of_uniform_lengths_is_within_two_percent(seed):
+    lengths, counts = np.unique(np.random.default_rng(seed).integers(1, 1024, 4000), return_counts=True)
+    bins = P.plan(dict(zip(lengths.tolist(), counts.tolist())))
+    used = np.zeros(1025, dtype=int)
+    for parts, n in bins:
+        assert sum(parts) <= 1024
+        np.add.at(used, list(parts), n)
+    assert np.array_equal(used[lengths], counts) and used.sum() == 4000
+    assert sum(n for _, n in bins) <= 1.02 * -(-int((lengths * counts).sum()) // 1024)
+
+
 def test_ids_equal_the_tokenizers_library(rows):
     import public_tokenizers
     from tokenizers import Tokenizer
