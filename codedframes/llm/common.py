@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -69,3 +71,18 @@ def local_components(n: int, left: np.ndarray, right: np.ndarray, root: np.ndarr
             root = nxt
         left, right = left[open_], right[open_]
     return root
+
+
+def byte_windows(text: bytes, size: int) -> Iterator[bytes]:
+    """Pieces of a text of about `size` bytes, cut at ASCII blanks; a run without blanks is never cut."""
+    at = 0
+    while len(text) - at > size:
+        gap = _BLANK.search(text, at + size)
+        if gap is None:
+            break
+        yield text[at:gap.start()]
+        at = gap.end()
+    yield text[at:] if at else text
+
+
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")

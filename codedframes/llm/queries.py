@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codedframes.llm import fingerprints, line_dedup, mixing, packing, passages, simhash, suffix, topk, toxicity, urls
+from codedframes.llm import (
+    fingerprints, importance, line_dedup, mixing, packing, passages, search, simhash, suffix, token_counts, topk, toxicity, urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -168,3 +170,42 @@ def op10_suffix(spark, sf_dir):
     """All documents without the strings of 200 bytes that are there more than once."""
     rows = suffix.remove_repeats(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op11_importance(spark, sf_dir):
+    """A quarter of all documents of 20 words or more, drawn towards the distribution of the benchmark's n-grams."""
+    rows = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, min_words=20, seed=7)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+TERMS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS_SQL} AS terms FROM documents),
+sized AS (SELECT r, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized),
+postings AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY ALL),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, whole GROUP BY term, n_docs),
+scored AS (
+  SELECT item_id, doc_id, r,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN weighed USING (term) JOIN postings USING (term) JOIN sized USING (r), whole GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
+
+@query(SEARCH_SQL)
+def op12_search(spark, sf_dir):
+    """The 20 best of all documents for each item of the benchmark."""
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query()
+def op13_token_counts(spark, sf_dir):
+    """Bytes and tokens of every document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), limit=2048)

@@ -17,7 +17,7 @@ given = pytest.mark.skipif(not os.path.isdir(TABLES), reason="the given tables a
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_query_against_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "benchmark"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
     expected = database.execute(Q.ORACLES[name]).df()
     found = Q.QUERIES[name](spark, TABLES).toPandas()[list(expected.columns)]
