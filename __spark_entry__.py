@@ -531,6 +531,27 @@ def decoded_by_shuffle(spark, sf_dir):
     return decode_columns(orders, {"o_custkey": "8"}, large, literal_codes=0, max_broadcast_bytes=0)
 
 
+SEVEN = {f"k{i}": str(20 + i % 3) for i in range(7)}
+SEVEN_SQL = ", ".join(
+    f"CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 7 = {i} THEN NULL WHEN o_orderkey % 11 = 0 THEN -1 ELSE (o_custkey * {i + 2}) % 1000 END AS k{i}"
+    for i in range(7))
+
+
+@query(f"""
+WITH o AS (SELECT o_orderkey, {SEVEN_SQL} FROM orders),
+c AS (SELECT 20 + c_custkey % 3 AS coding, c_custkey AS code, c_name FROM customer)
+SELECT o_orderkey, {", ".join(f"o.k{i}, c{i}.c_name AS k{i}_meaning" for i in range(7))}
+FROM o {" ".join(f"LEFT JOIN c AS c{i} ON c{i}.coding = {20 + i % 3} AND c{i}.code = o.k{i}" for i in range(7))}
+""")
+def decoded_seven_by_shuffle(spark, sf_dir):
+    """Seven columns of three codings too large to broadcast, with frequent, unknown and missing codes."""
+    orders = data.table(spark, sf_dir, "orders").selectExpr("o_orderkey", *[
+        f"IF(o_orderkey % 3 = 0, 1L, IF(o_orderkey % 7 = {i}, NULL, IF(o_orderkey % 11 = 0, -1L, (o_custkey * {i + 2}) % 1000))) AS k{i}" for i in range(7)])
+    large = data.table(spark, sf_dir, "customer").selectExpr(
+        "CAST(20 + c_custkey % 3 AS string) AS encoding_id", "c_custkey AS pos", "CAST(c_custkey AS string) AS code", "c_name AS meaning")
+    return decode_columns(orders, SEVEN, large, literal_codes=0, max_broadcast_bytes=0)
+
+
 # Type resolution
 
 
@@ -746,6 +767,45 @@ def closed_domain(spark, sf_dir):
     return data.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{closed} AS l_returnflag")
 
 
+COPIES = 500
+
+
+COPIES_SQL = """
+WITH cells AS (
+  SELECT l_orderkey, l_linenumber, [x FOR x IN [(l_partkey + 7 * i) % 2000 FOR i IN range({0})] IF x < 1024] AS c FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST(CASE WHEN len(c) > 0 THEN list_sum(c) END AS {1}) AS total, CAST(len(c) AS BIGINT) AS n FROM cells
+"""
+
+
+def _many_columns(spark, sf_dir, index_categories):
+    """500 columns of one coding of 1,024 codes; the sum and number of what is kept in a row."""
+    names = [f"{i}-0.0" for i in range(COPIES)]
+    keys = ["l_orderkey", "l_linenumber"]
+    kinds = {k: ("Sequence", None) for k in keys} | {n: ("Categorical (single)", ("41", 1024, "Integer")) for n in names}
+    cells = data.table(spark, sf_dir, "lineitem").selectExpr(
+        *[f"CAST({k} AS string) AS {k}" for k in keys], *[f"CAST((l_partkey + {7 * i}) % 2000 AS string) AS `{n}`" for i, n in enumerate(names)])
+    codes = spark.range(1024).selectExpr(
+        "'41' AS encoding_id", "id AS pos", "CAST(id AS string) AS code", "CAST(id AS string) AS meaning", "CAST(NULL AS string) AS selectable",
+        "false AS is_hierarchical")
+    plan = plan_columns(spark, cells.columns, data.column_dictionary(spark, kinds), codes, max_categories=1024)
+    typed = cast_extract(cells, plan, "utf-8", index_categories)
+    kept = typed.selectExpr(*keys, f"array_compact(array({', '.join(quote_name(n) for n in names)})) AS c")
+    zero = "0L" if index_categories else "0D"
+    return kept.selectExpr(*keys, f"IF(size(c) = 0, NULL, aggregate(c, {zero}, (s, x) -> s + x)) AS total", "CAST(size(c) AS bigint) AS n")
+
+
+@query(COPIES_SQL.format(COPIES, "DOUBLE"))
+def closed_domain_of_many_columns(spark, sf_dir):
+    """500 columns of one coding, cast by slices that share its list."""
+    return _many_columns(spark, sf_dir, False)
+
+
+@query(COPIES_SQL.format(COPIES, "BIGINT"))
+def positions_of_many_columns(spark, sf_dir):
+    """The same columns as positions in the list."""
+    return _many_columns(spark, sf_dir, True)
+
+
 PROFILED = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
     "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",

@@ -12,12 +12,28 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections.abc import Sequence
+from dataclasses import dataclass
 from decimal import Decimal
 
 from ..functions.fixed import NA_TOKENS
-from ..functions.text import cp1252_from_latin1, has_clock, missing_to_null, quote_text, spark_pattern
+from ..functions.text import cp1252_from_latin1, has_clock, missing_to_null, quote_text, spark_pattern, text_list
 
 SHORT_LIST = 64
+#: Positions in so short a list are searched one by one.
+SHORT_INDEX = 8
+
+
+@dataclass(frozen=True)
+class NameAt:
+    """Stands for a column's name in a lambda over the cells of several columns: the name at place `i`."""
+
+    names: tuple[str, ...]
+
+
+def _label(name: str | NameAt) -> str:
+    return f"array({text_list(name.names)})[i]" if isinstance(name, NameAt) else quote_text(name)
 
 
 def _rarely(cell: str, expression: str) -> str:
@@ -35,8 +51,8 @@ def _unless_token(expression: str) -> str:
     return f"IF(find_in_set(x, {quote_text(','.join(NA_TOKENS))}) > 0, NULL, {expression})"
 
 
-def _refused(name: str, kind: str) -> str:
-    return f"raise_error(concat({quote_text(f'Column {name}: not a {kind}: ')}, x))"
+def _refused(name: str | NameAt, kind: str) -> str:
+    return f"raise_error(concat('Column ', {_label(name)}, {quote_text(f': not a {kind}: ')}, x))"
 
 
 # Java also reads "1d" and "1f" as numbers, and "NAN" as one. With "e0" after
@@ -54,34 +70,34 @@ _OTHER_WHOLE = (
 )
 
 
-def _strict(name: str, cell: str, plain: str, other: str | None, kind: str) -> str:
+def _strict(name: str | NameAt, cell: str, plain: str, other: str | None, kind: str) -> str:
     """A plain attempt; then tokens, another attempt, or failure."""
     refused = _refused(name, kind)
     settled = _rarely(cell, _unless_token(f"coalesce({other}, {refused})" if other else refused))
     return f"CASE WHEN {cell} IS NOT NULL THEN coalesce({plain}, {settled}) END"
 
 
-def to_int(name: str, cell: str) -> str:
+def to_int(name: str | NameAt, cell: str) -> str:
     """Whole number; a missing value is an error."""
-    message = quote_text(f"Column {name}: missing value in an integer column")
+    message = f"concat('Column ', {_label(name)}, ': missing value in an integer column')"
     return f"coalesce({to_long(name, cell)}, raise_error({message}))"
 
 
-def to_long(name: str, cell: str) -> str:
+def to_long(name: str | NameAt, cell: str) -> str:
     """Whole number or missing."""
     return _strict(name, cell, _PLAIN_WHOLE.format(cell), _OTHER_WHOLE, "whole number")
 
 
-def to_double(name: str, cell: str) -> str:
+def to_double(name: str | NameAt, cell: str) -> str:
     return _strict(name, cell, _PLAIN_NUMBER.format(cell), _OTHER_NUMBER, "number")
 
 
-def to_day(name: str, cell: str, fmt: str) -> str:
+def to_day(name: str | NameAt, cell: str, fmt: str) -> str:
     plain = f"try_to_date({cell}, {quote_text(spark_pattern(fmt))})"
     return _strict(name, cell, plain, None, f"date of format {fmt}")
 
 
-def to_timestamp(name: str, cell: str, fmt: str) -> str:
+def to_timestamp(name: str | NameAt, cell: str, fmt: str) -> str:
     if not has_clock(fmt):
         return f"CAST({to_day(name, cell, fmt)} AS TIMESTAMP_NTZ)"
     # Only the parser with a time zone is lenient: it says whether the cell fits, at a fixed offset, so that the
@@ -96,7 +112,7 @@ def to_text(cell: str, latin1: bool = False) -> str:
     return missing_to_null(cell, cp1252_from_latin1(cell) if latin1 else cell)
 
 
-def cast_cell(name: str, cell: str, target: str, spark_type: str, fmt: str | None, latin1: bool = False) -> str:
+def cast_cell(name: str | NameAt, cell: str, target: str, spark_type: str, fmt: str | None, latin1: bool = False) -> str:
     """Strict cast of a raw cell to the target of its column."""
     if target == "date":
         return to_timestamp(name, cell, fmt)
@@ -175,18 +191,52 @@ def close_domain(value: str, literals: list[str], spark_type: str) -> str:
     """Keep listed values only.
 
     A short list is a map from each value to itself, so that the value is
-    worked out once; a longer one is a hashed membership test.
+    worked out once; a longer one is looked up by hash.
     """
     if not literals:
         return f"CAST(NULL AS {spark_type})"
     if len(literals) <= SHORT_LIST:
         return f"try_element_at(map({', '.join(f'{x}, {x}' for x in literals)}), {value})"
-    return f"CASE WHEN {value} IN ({', '.join(literals)}) THEN {value} END"
+    return f"transform(array({value}), y -> {hashed(literals, spark_type, 'y')})[0]"
 
 
-def category_index(value: str, literals: list[str], index_type: str) -> str:
-    """Zero-based position of a value in its list, NULL outside it."""
+def category_index(value: str, literals: list[str], index_type: str, spark_type: str = "string") -> str:
+    """Zero-based position of a value in its list, NULL outside it; a long list is looked up by hash."""
     if not literals:
         return f"CAST(NULL AS {index_type})"
-    position = f"array_position(array({', '.join(literals)}), {value})"
-    return f"CAST(nullif({position}, 0) - 1 AS {index_type})"
+    if len(literals) <= SHORT_INDEX:
+        return f"CAST(nullif(array_position(array({', '.join(literals)}), {value}), 0) - 1 AS {index_type})"
+    return f"CAST(transform(array({value}), y -> {hashed(literals, spark_type, 'y', range(len(literals)))})[0] AS {index_type})"
+
+
+def hashed(literals: Sequence[str], spark_type: str, y: str, results: Sequence | None = None) -> str:
+    """What belongs to the value `y` (a name): its result, or by default the value itself; NULL when it isn't listed.
+
+    The list is a constant array of small maps. A value's map is at a place computed from the value, so a lookup takes
+    as long for a thousand values as for one. Spark folds the array into one constant.
+    """
+    where = {"string": f"crc32({y})", "double": f"coalesce(try_cast({y} AS BIGINT), 0L)", "bigint": y}[spark_type]
+    keys = [_number(literal, spark_type) for literal in literals]
+    size = min(range(2 * len(keys) + 1, 2 * len(keys) + 33, 2), key=lambda n: _fullest(keys, n))
+    maps: list[list[str]] = [[] for _ in range(size)]
+    for key, literal, result in zip(keys, literals, literals if results is None else results, strict=True):
+        maps[key % size].append(f"{literal}, {result}")
+    table = ", ".join(f"map({', '.join(pairs)})" if pairs else "NULL" for pairs in maps)
+    return f"try_element_at(array({table})[pmod({where}, {size}L)], {y})"
+
+
+def _number(literal: str, spark_type: str) -> int:
+    """The number that a literal's place is computed from."""
+    if spark_type == "string":
+        return zlib.crc32(re.sub(r"\\(.)", r"\1", literal[1:-1], flags=re.DOTALL).encode())
+    if spark_type == "double":
+        whole = int(float(literal.removesuffix("D")))
+        return whole if -(2**63) <= whole < 2**63 else 0
+    return int(re.search(r"[+-]?[0-9]+", literal)[0])
+
+
+def _fullest(keys: Sequence[int], size: int) -> int:
+    places: dict[int, int] = {}
+    for key in keys:
+        places[key % size] = places.get(key % size, 0) + 1
+    return max(places.values(), default=0)

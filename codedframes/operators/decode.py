@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import quote_name, quote_text
 from .casts import code_value, dated_value
-from .joins import BROADCAST_BYTES, lookup_join, measured_bytes
+from .joins import BROADCAST_BYTES, Ask, lookup_columns
+from .order import numbered
 from .types import usable_codes
 
 LITERAL_CODES = 64
-KEY = "__code"
 
 
 def _comparable(value: Column, kind: str) -> Column:
@@ -28,6 +28,11 @@ def _comparable(value: Column, kind: str) -> Column:
     return F.coalesce(value.try_cast("bigint"), whole)
 
 
+def _text_key(value: Column, kind: str) -> Column:
+    """The value as text, in one spelling for equal values (0.0 and -0.0 are equal)."""
+    return (value + F.lit(0.0) if kind == "double" else value).cast("string")
+
+
 def _compared_as(kind: str) -> str:
     if kind in ("tinyint", "smallint", "int", "bigint"):
         return "bigint"
@@ -43,12 +48,11 @@ def coding_lookup(encodings: DataFrame, encoding_id: str, kind: str, how: dict |
     how = how or {}
     rows = encodings.where(F.col("encoding_id") == str(encoding_id))
     if how.get("stored") == "position":
-        # One place per different value, in table order; the window spans one coding table.
+        # One place per different value, in table order.
         value = F.expr(code_value(how["compared"]))
         listed = usable_codes(rows).select(value.alias("value"), "pos", "meaning").where("value IS NOT NULL")
         listed = listed.groupBy("value").agg(F.min("pos").alias("pos"), F.min_by("meaning", "pos").alias("meaning"))
-        place = F.row_number().over(Window.partitionBy().orderBy("pos")) - 1
-        return listed.select(place.cast("bigint").alias("code"), "meaning")
+        return numbered(listed, [], ["pos"]).select(F.col("place").alias("code"), "meaning")
     key = F.expr(code_value(kind))
     if how.get("format"):
         key = F.expr(f"CAST({dated_value('code', how['format'])} AS {how['dtype']})").cast("string")
@@ -74,7 +78,7 @@ def decode_columns(
     metadata how their codes are stored: as positions, or as dates of a format.
     Each coding is read once for all columns that store it alike. Codings with
     few codes become map literals inside one projection, so decoding many
-    columns adds no joins; longer ones are joined.
+    columns adds no joins; longer ones are joined, all in one go (`lookup_columns`).
     """
     wanted: dict[tuple, dict] = {}
     asks: dict[str, tuple] = {}
@@ -100,13 +104,9 @@ def decode_columns(
         f"{_literal_meaning(name, maps[ask], ask[1])} AS {quote_name(name + suffix)}" for name, ask in asks.items() if ask in maps
     ]
     out = frame.selectExpr("*", *literals) if literals else frame
-    measured = {ask: measured_bytes(lookups[ask]) for ask in wanted if ask not in maps}
-    for name, ask in asks.items():
-        if ask not in maps:
-            lookup = lookups[ask].withColumnsRenamed({"code": KEY, "meaning": name + suffix})
-            key = _comparable(F.col(quote_name(name)), ask[1]).alias(KEY)
-            joined = lookup_join(out.select("*", key), lookup, KEY, max_broadcast_bytes, frame.select(key), measured[ask])
-            out = joined.drop(KEY)
+    joined = [Ask(name + suffix, _text_key(_comparable(F.col(quote_name(name)), ask[1]), ask[1]), ask) for name, ask in asks.items() if ask not in maps]
+    values = {ask: lookups[ask].select(_text_key(F.col("code"), ask[1]).alias("code"), F.col("meaning").alias("value")) for ask in wanted if ask not in maps}
+    out = lookup_columns(out, joined, values, max_broadcast_bytes)
     names = [quote_name(n) for n in [*frame.columns, *[c + suffix for c in columns]]]
     return out.selectExpr(*names)
 

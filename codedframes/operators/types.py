@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +20,9 @@ from ..functions.fixed import (
     REQUIRED_TARGETS,
     SPARK_TYPES,
 )
-from ..functions.text import quote_name, quote_text
+from ..functions.text import quote_text
 from ..sources.codings import selectable_only
+from .order import numbered
 
 PROFILES = {"dtype": DTYPE_TARGETS, "nullable": NULLABLE_TARGETS}
 LIST_CODES = 1024
@@ -225,10 +226,9 @@ def category_lists(offered: DataFrame, max_codes: int = LIST_CODES) -> DataFrame
     parts, counted from 0. No coding and no code is left out.
     """
     keys = [c for c in ("dict_id", "encoding_id") if c in offered.columns]
-    place = F.row_number().over(Window.partitionBy(keys).orderBy("pos", "code")) - 1
     pairs = F.sort_array(F.collect_list(F.struct("pos", "code")))
     return (
-        offered.withColumn("part", F.floor(place / max_codes).cast("int"))
+        numbered(offered, keys, ["pos", "code"]).withColumn("part", F.floor(F.col("place") / max_codes).cast("int"))
         .groupBy(*keys, "part")
         .agg(F.transform(pairs, lambda p: p["code"]).alias("codes"))
     )
@@ -250,9 +250,13 @@ def storage_schema(resolved: DataFrame, index_categories: bool = False) -> T.Str
     """The schema of the typed extract; one small row per column is collected."""
     rows = storage_fields(resolved, index_categories).withColumnRenamed("name", "udi").orderBy("pos").collect()
     raise_problems(rows)
-    return T.StructType.fromDDL(
-        ", ".join(f"{quote_name(r['udi'])} {r['type']}{'' if r['nullable'] else ' NOT NULL'}" for r in rows)
-    )
+    return schema_of(rows)
+
+
+def schema_of(rows, metadata: Mapping[str, dict] | None = None) -> T.StructType:
+    """The schema that resolved columns (rows of `storage_fields`, by name `udi`) are stored with."""
+    kinds = {kind: T.StructType.fromDDL(f"c {kind}").fields[0].dataType for kind in {r["type"] for r in rows}}
+    return T.StructType([T.StructField(r["udi"], kinds[r["type"]], r["nullable"], (metadata or {}).get(r["udi"])) for r in rows])
 
 
 def raise_problems(rows) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from ..sources.codings import ID_PATTERN, read_coding_files, route_encodings
 from ..sources.dictionary import parse_dictionary, parse_encodings, read_pages
 from ..sources.extract import read_header, scan_extract
 from .spec import ConversionSpec
-from .typed import cast_extract, check_types, plan_columns
+from .typed import ColumnPlan, cast_extract, check_types, plan_columns
 
 INDEX = "index"
 
@@ -34,6 +35,18 @@ def load_dictionary(
     return dictionary, route_encodings(dictionary, on_page, in_files).persist()
 
 
+def resolution_key(names: Sequence[str], spec: ConversionSpec) -> str:
+    """Specs of equal keys resolve the columns alike: same names, type map, categorical types and largest list."""
+    return json.dumps([list(names), spec.dtype_dict, list(spec.categorical_type), spec.max_categories], sort_keys=True, default=list)
+
+
+def resolve(spark: SparkSession, names: Sequence[str], dictionary: DataFrame, encodings: DataFrame, spec: ConversionSpec) -> ColumnPlan:
+    """What a spec needs of dictionary and codings to type the columns; it holds no rows of the extract."""
+    mapping = type_map(spark, spec.dtype_dict)
+    check_types(dictionary, mapping, spec.categorical_type)
+    return plan_columns(spark, names, dictionary, encodings, mapping, spec.categorical_type, spec.max_categories)
+
+
 def typed_extract(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -41,13 +54,10 @@ def typed_extract(
     dictionary: DataFrame,
     encodings: DataFrame,
     spec: ConversionSpec,
+    plan: ColumnPlan | None = None,
 ) -> DataFrame:
-    """The extract with all types applied, lazily; first rows and index if asked for."""
-    mapping = type_map(spark, spec.dtype_dict)
-    check_types(dictionary, mapping, spec.categorical_type)
-    plan = plan_columns(
-        spark, names, dictionary, encodings, mapping, spec.categorical_type, spec.max_categories
-    )
+    """The extract with all types applied, lazily; first rows and index if asked for. `plan` is a resolution made before."""
+    plan = plan or resolve(spark, names, dictionary, encodings, spec)
 
     def scan(files):
         return scan_extract(spark, files, names, spec.tab_offset, spec.encoding)
@@ -72,8 +82,9 @@ def convert(
 ) -> dict[str, str]:
     """Write one Parquet folder per spec and return `name: folder`.
 
-    Dictionary, codings and header are read once for all specs, and every spec
-    is resolved and every output folder checked before the first write. The
+    Dictionary, codings and header are read once for all specs, specs with the
+    same types are resolved once, and every spec is resolved and every output
+    folder checked before the first write. The
     extract itself is scanned per spec: keeping a copy of its text would cost
     more than reading it again.
     """
@@ -85,11 +96,15 @@ def convert(
     dictionary, encodings = load_dictionary(spark, dictionary_path, coding_path, id_pattern)
     headers: dict[str, list[str]] = {}
     try:
-        typed = {}
+        typed, plans = {}, {}
         for name, spec in named.items():
             if spec.encoding not in headers:
                 headers[spec.encoding] = read_header(spark, extract_path, spec.encoding)
-            typed[name] = typed_extract(spark, extract_path, headers[spec.encoding], dictionary, encodings, spec)
+            names = headers[spec.encoding]
+            key = resolution_key(names, spec)
+            if key not in plans:
+                plans[key] = resolve(spark, names, dictionary, encodings, spec)
+            typed[name] = typed_extract(spark, extract_path, names, dictionary, encodings, spec, plans[key])
         for name, spec in named.items():
             frame = repartition(typed[name], spec.npartitions)
             write_parquet(frame, spec.out_path, spec.settings, spec.force, inputs)

@@ -5,25 +5,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import CATEGORICAL_TYPES, MAX_CATEGORIES
 from ..functions.text import quote_name, quote_text
-from ..operators.casts import cast_cell, category_index, category_literals, category_value, close_domain, code_value
-from ..operators.joins import BROADCAST_BYTES, lookup_join
+from ..operators.casts import (
+    NameAt,
+    cast_cell,
+    category_index,
+    category_literals,
+    category_value,
+    close_domain,
+    code_value,
+    hashed,
+)
+from ..operators.joins import BROADCAST_BYTES, Ask, lookup_columns
+from ..operators.order import numbered
 from ..operators.types import (
     LIST_CODES,
     missing_types,
     raise_problems,
     resolve_types,
+    schema_of,
+    storage_fields,
     type_map,
     usable_codes,
 )
 from ..sources.extract import header_frame, is_cp1252
 
 RESOLVED = ("pos", "udi", "branch", "target", "spark_type", "fmt", "index_type", "Encoding_id", "problem")
+#: Extracts of more columns are cast by slices: cells that are treated alike, so many at a time, in one expression.
+#: The first is where Spark stops to compile a stage as a whole.
+WIDE, SLICE = 100, 256
 
 
 @dataclass
@@ -65,7 +80,8 @@ def plan_columns(
     """
     mapping = type_map(spark) if mapping is None else mapping
     resolved = resolve_types(header_frame(spark, names), dictionary, mapping, categorical_types, max_categories)
-    rows = resolved.select(*RESOLVED).orderBy("pos").collect()
+    required = storage_fields(resolved).select("pos", "nullable")
+    rows = resolved.select(*RESOLVED).join(required, "pos").orderBy("pos").collect()
     raise_problems(rows)
     used = sorted({r["Encoding_id"] for r in rows if r["branch"] == "categorical"})
     codes = usable_codes(encodings).where(F.col("encoding_id").isin(used)).select("encoding_id", "pos", "code")
@@ -81,6 +97,55 @@ def plan_columns(
     return ColumnPlan(rows, lists, set(used) - set(short), codes)
 
 
+@dataclass(frozen=True)
+class Treatment:
+    """What happens to the cells of a column. Columns of one coding that are stored alike have equal ones."""
+
+    target: str
+    spark_type: str
+    fmt: str | None
+    latin1: bool
+    #: Of a categorical column: its coding, what its codes are compared as, and the type of positions where they are stored.
+    encoding_id: str | None = None
+    compared: str | None = None
+    index_type: str | None = None
+    joined: bool = False
+
+    @property
+    def dated(self) -> bool:
+        return self.target in ("date", "day")
+
+    def expression(self, name: str, cell: str, literals: dict) -> str:
+        """The value of one column's raw cell."""
+        if self.compared is None:
+            return cast_cell(name, cell, self.target, self.spark_type, self.fmt, self.latin1)
+        value = category_value(cell, self.compared, self.latin1)
+        if self.joined:
+            return value
+        listed = literals[self.encoding_id, self.compared]
+        if self.index_type:
+            return category_index(value, listed, self.index_type, self.compared)
+        value = close_domain(value, listed, self.compared)
+        return cast_cell(name, f"({value})", self.target, self.spark_type, self.fmt) if self.dated else value
+
+    def slice_expression(self, names: Sequence[str], literals: dict) -> str:
+        """The values of several columns' raw cells, as one array; its size doesn't depend on their number but for their names."""
+        cells = f"array({', '.join(quote_name(n) for n in names)})"
+        at = NameAt(tuple(names))
+        if self.compared is None:
+            return f"transform({cells}, (x, i) -> {cast_cell(at, 'x', self.target, self.spark_type, self.fmt, self.latin1)})"
+        values = f"transform({cells}, x -> {category_value('x', self.compared, self.latin1)})"
+        if self.joined:
+            return values
+        listed = literals[self.encoding_id, self.compared]
+        if not listed:
+            return f"transform({cells}, x -> CAST(NULL AS {self.index_type or self.spark_type}))"
+        if self.index_type:
+            return f"transform({values}, y -> CAST({hashed(listed, self.compared, 'y', range(len(listed)))} AS {self.index_type}))"
+        values = f"transform({values}, y -> {hashed(listed, self.compared, 'y')})"
+        return f"transform({values}, (x, i) -> {cast_cell(at, 'x', self.target, self.spark_type, self.fmt)})" if self.dated else values
+
+
 def cast_extract(
     raw: DataFrame,
     plan: ColumnPlan,
@@ -89,73 +154,98 @@ def cast_extract(
     keep: Sequence[str] = (),
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Raw text cells to typed columns, in one projection over all of them.
+    """Raw text cells to typed columns.
 
-    `keep` names columns of `raw` that pass through in front.
+    An extract of up to a hundred columns is cast in one projection. A wider one is cast by slices: columns that are treated
+    alike share one expression over an array of their cells, with one constant list for each coding, and a second
+    projection takes the arrays apart. Its code grows with the treatments and codes, plus one array access a column; a
+    cast of its own for each column is more than the JVM will compile. `keep` names columns of `raw` that pass through
+    in front.
     """
-    latin1 = is_cp1252(charset)
-    cells = [quote_name(k) for k in keep]
-    joined, metadata = [], {}
+    latin1, treatments, literals, metadata = is_cp1252(charset), {}, {}, {}
     for r in plan.rows:
-        name, cell, kind = r["udi"], quote_name(r["udi"]), r["spark_type"]
+        name, dated = r["udi"], r["target"] in ("date", "day")
         if r["branch"] != "categorical":
-            value = cast_cell(name, cell, r["target"], kind, r["fmt"], latin1)
-        else:
-            dated = r["target"] in ("date", "day")
-            compared = "string" if dated else kind
-            value = category_value(cell, compared, latin1)
-            metadata[name] = {
-                "encoding_id": r["Encoding_id"], "stored": "position" if index_categories else "code", "compared": compared,
-                "format": r["fmt"] if dated else None,
-            }
-            if r["Encoding_id"] in plan.long_ids:
-                joined.append(r)
+            treatments[name] = Treatment(r["target"], r["spark_type"], r["fmt"], latin1)
+            continue
+        compared, coding = "string" if dated else r["spark_type"], r["Encoding_id"]
+        index_type = r["index_type"] if index_categories else None
+        long = coding in plan.long_ids
+        treatments[name] = Treatment(r["target"], r["spark_type"], r["fmt"], latin1, coding, compared, index_type, long)
+        metadata[name] = {
+            "encoding_id": coding, "stored": "position" if index_categories else "code", "compared": compared,
+            "format": r["fmt"] if dated else None,
+        }
+        if not long:
+            if (coding, compared) not in literals:
+                literals[coding, compared] = category_literals(plan.lists[coding], compared, name)
+            metadata[name]["categories"] = list(dict.fromkeys(plan.lists[coding]))
+            check_width(name, len(literals[coding, compared]), index_type)
+    out = _cast(raw, treatments, literals, keep)
+    out = _close_by_join(out, {n: t for n, t in treatments.items() if t.joined}, plan.codes, max_broadcast_bytes)
+    return _describe(out, plan.rows, index_categories, metadata)
+
+
+def _cast(raw: DataFrame, treatments: dict[str, Treatment], literals: dict, keep: Sequence[str]) -> DataFrame:
+    alike: dict[Treatment, list[str]] = {}
+    if len(treatments) > WIDE:
+        for name, treatment in treatments.items():
+            # Columns that can't be missing are cast by themselves, which keeps them so.
+            if treatment.target not in ("int", "int64"):
+                alike.setdefault(treatment, []).append(name)
+    slices, place = [], {}
+    for treatment, names in alike.items():
+        for at in range(0, len(names) if len(names) > 1 else 0, SLICE):
+            part = names[at:at + SLICE]
+            place.update({name: f"__slice_{len(slices)}[{i}]" for i, name in enumerate(part)})
+            slices.append(f"{treatment.slice_expression(part, literals)} AS __slice_{len(slices)}")
+    if slices:
+        single = [quote_name(n) for n in [*keep, *treatments] if n not in place]
+        raw = raw.selectExpr(*single, *slices)
+    cells = [
+        f"{place.get(name) or treatment.expression(name, quote_name(name), literals)} AS {quote_name(name)}"
+        for name, treatment in treatments.items()
+    ]
+    return raw.selectExpr(*[quote_name(k) for k in keep], *cells)
+
+
+def _close_by_join(frame: DataFrame, columns: dict[str, Treatment], codes: DataFrame, max_broadcast_bytes: int) -> DataFrame:
+    """Closed lists that are too long for literals: one lookup of codes' places for each, joined together."""
+    if not columns:
+        return frame
+    lookups, asks, sizes = {}, [], {}
+    for name, t in columns.items():
+        kind, of = t.compared, (t.encoding_id, t.compared, t.index_type)
+        if of not in lookups:
+            message = f"concat({quote_text(f'Column {name}: code ')}, coalesce(code, 'NULL'), {quote_text(' does not fit its coding')})"
+            listed = (
+                codes.where(F.col("encoding_id") == t.encoding_id)
+                .selectExpr(f"coalesce({code_value(kind)}, raise_error({message})) AS value", "pos")
+                .groupBy("value").agg(F.min("pos").alias("pos"))
+            )
+            if t.index_type:
+                listed = numbered(listed, [], ["pos"]).select("value", F.col("place").alias("pos"))
+                sizes[of] = listed.count()
+            lookups[of] = listed.select(_text_key("value", kind).alias("code"), F.col("pos").cast("string").alias("value"))
+        if t.index_type:
+            check_width(name, sizes[of], t.index_type)
+        asks.append(Ask(f"__place {name}", _text_key(quote_name(name), kind), of))
+    joined = lookup_columns(frame, asks, lookups, max_broadcast_bytes)
+    closed = []
+    for name in frame.columns:
+        cell, place, value = quote_name(name), quote_name(f"__place {name}"), quote_name(name)
+        if t := columns.get(name):
+            if t.index_type:
+                value = f"CAST({place} AS {t.index_type})"
             else:
-                codes = plan.lists[r["Encoding_id"]]
-                literals = category_literals(codes, compared, name)
-                metadata[name]["categories"] = list(dict.fromkeys(codes))
-                check_width(name, len(literals), r["index_type"] if index_categories else None)
-                if index_categories:
-                    value = category_index(value, literals, r["index_type"])
-                else:
-                    value = close_domain(value, literals, compared)
-                    value = cast_cell(name, f"({value})", r["target"], kind, r["fmt"]) if dated else value
-        cells.append(f"{value} AS {cell}")
-    out = raw.selectExpr(*cells)
-    base = out
-    for r in joined:
-        out = _close_by_join(out, base, r, plan.codes, index_categories, max_broadcast_bytes)
-    return _describe(out, metadata)
-
-
-def _close_by_join(
-    frame: DataFrame, base: DataFrame, row, codes: DataFrame, index_categories: bool, max_broadcast_bytes: int
-) -> DataFrame:
-    """A closed list that is too long for literals: a left join on its codes."""
-    name, cell, kind = row["udi"], quote_name(row["udi"]), row["spark_type"]
-    dated = row["target"] in ("date", "day")
-    value = code_value("string" if dated else kind)
-    message = f"concat({quote_text(f'Column {name}: code ')}, coalesce(code, 'NULL'), {quote_text(' does not fit its coding')})"
-    refused = f"raise_error({message})"
-    listed = (
-        codes.where(F.col("encoding_id") == row["Encoding_id"])
-        .selectExpr(f"coalesce({value}, {refused}) AS __value", "pos")
-        .groupBy("__value")
-        .agg(F.min("pos").alias("__pos"))
-    )
-    if index_categories:
-        # Places are counted over one coding table's rows.
-        listed = listed.selectExpr("__value", "row_number() OVER (ORDER BY __pos) - 1 AS __pos")
-        check_width(name, listed.count(), row["index_type"])
-    key = f"{cell} AS __value"
-    joined = lookup_join(frame.selectExpr("*", key), listed, "__value", max_broadcast_bytes, base.selectExpr(key))
-    if index_categories:
-        closed = f"CAST(__pos AS {row['index_type']})"
-    else:
-        closed = f"CASE WHEN __pos IS NOT NULL THEN {cell} END"
-        closed = cast_cell(name, f"({closed})", row["target"], kind, row["fmt"]) if dated else closed
-    order = [f"{closed} AS {cell}" if c == name else quote_name(c) for c in frame.columns]
-    return joined.selectExpr(*order)
+                value = f"CASE WHEN {place} IS NOT NULL THEN {cell} END"
+                value = cast_cell(name, f"({value})", t.target, t.spark_type, t.fmt) if t.dated else value
+        closed.append(f"{value} AS {cell}")
+    return joined.selectExpr(*closed)
+
+
+def _text_key(value: str, kind: str) -> Column:
+    return (F.col(value) + F.lit(0.0) if kind == "double" else F.col(value)).cast("string")
 
 
 INDEX_LIMITS = {"smallint": 1 << 15, "int": 1 << 31, "bigint": 1 << 63}
@@ -167,17 +257,16 @@ def check_width(name: str, codes: int, index_type: str | None) -> None:
         raise ValueError(f"Column {name}: {codes} codes do not fit positions of type {index_type}; the dictionary declares fewer")
 
 
-def _describe(frame: DataFrame, metadata: dict) -> DataFrame:
-    """Attach category lists to the columns' metadata, for all columns at once.
+def _describe(frame: DataFrame, rows: Sequence, index_categories: bool, metadata: dict) -> DataFrame:
+    """Give the columns their types of the storage schema, and their category lists as metadata.
 
-    The aliases on top keep the optimiser from dropping a projection that
-    changes nothing but metadata.
+    The schema and the casts come from the same resolved rows; a cast that gave another type would fail here. The
+    aliases on top keep the optimiser from dropping a projection that changes nothing but metadata.
     """
-    if not metadata:
-        return frame
-    schema = frame.schema
-    described = T.StructType(
-        [T.StructField(f.name, f.dataType, f.nullable, metadata.get(f.name, f.metadata)) for f in schema.fields]
-    )
+    kinds = [r.asDict() | {"type": r["index_type"] if index_categories and r["branch"] == "categorical" else r["spark_type"]} for r in rows]
+    stored = {f.name: f for f in schema_of(kinds, metadata).fields}
+    schema = T.StructType([
+        T.StructField(f.name, stored[f.name].dataType, True, stored[f.name].metadata) if f.name in stored else f for f in frame.schema.fields
+    ])
     names = [quote_name(n) for n in schema.names]
-    return frame.to(described).selectExpr(*[f"{n} AS {n}" for n in names])
+    return frame.to(schema).selectExpr(*[f"{n} AS {n}" for n in names])

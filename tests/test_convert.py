@@ -53,7 +53,7 @@ def test_many_outputs(spark, folder, inputs):
     plain = spark.read.parquet(out["plain"])
     assert [tuple(r) for r in plain.orderBy("eid").collect()] == EXPECTED
     short = spark.read.parquet(out["short"])
-    assert [tuple(r)[:6] for r in short.orderBy("index").collect()] == [(0, 1, 1, -1, 1960, "café €"), (1, 2, 1, None, None, 'q "x" y')]
+    assert [tuple(r)[:6] for r in short.orderBy("index").collect()] == [(0, 1, 30, -3, 1960, "café €"), (1, 2, 30, None, None, 'q "x" y')]
     assert dict(short.dtypes)["16-0.0"] == "date" and dict(short.dtypes)["11-0.0"] == "bigint"
     assert any(f.endswith(".gz.parquet") for f in os.listdir(out["short"]))
     indexed = [tuple(r)[:3] for r in spark.read.parquet(out["indexed"]).orderBy("eid").collect()]
@@ -156,3 +156,28 @@ def test_partitions(spark):
     assert sink.repartition(frame, 8).rdd.getNumPartitions() == 8
     assert sink.repartition(frame, 2).rdd.getNumPartitions() == 2
     assert sink.repartition(frame, 40).rdd.getNumPartitions() == 40
+
+
+def test_specs_of_equal_types_are_resolved_once(spark, folder, inputs):
+    """A second spec of the same types costs the jobs of its write and its manifest only."""
+    extract, page, codings = inputs()
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(label, specs):
+        spark.sparkContext.setJobGroup(label, label)
+        convert(spark, extract, page, specs, codings)
+        return len(tracker.getJobIdsForGroup(label))
+
+    one = jobs("one", [ConversionSpec(f"{folder}/a", settings={"compression": "zstd"})])
+    two = jobs("two", [ConversionSpec(f"{folder}/b"), ConversionSpec(f"{folder}/c", index_categories=True)])
+    other = jobs("other", [ConversionSpec(f"{folder}/d"), ConversionSpec(f"{folder}/e", max_categories=200)])
+    spark.sparkContext.setJobGroup("write", "write")
+    sink.write_manifest(spark, f"{folder}/a", {}, to=f"{folder}/again")
+    manifest = len(tracker.getJobIdsForGroup("write"))
+    assert two - one <= 1 + manifest < other - one
+
+
+def test_manifest_reads_no_column(spark, folder):
+    sink.write_parquet(spark.range(10), f"{folder}/out")
+    plan = sink.manifest(spark, f"{folder}/out")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
