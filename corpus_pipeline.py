@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codedframes.llm import line_dedup, mixing, near_copies, packing, toxicity
+from codedframes.llm import line_dedup, mixing, packing, simhash, toxicity
 from codedframes.llm.common import saved
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,24 +27,32 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest doc_id, of each group of near-duplicates.
 
-    Texts link at a Jaccard similarity of 0.8 or more of their five-word shingles; no link is left out.
-    A document without an id is known by a number above all ids, made from its text, and stays only if its group has no
-    ids. Of rows that repeat id and text one stays.
+    Texts link where the SimHash fingerprints of their three-word shingles differ in three bits or fewer; texts without words
+    (null, empty, blank) link with each other. A document without an id is known by a number above all ids, made from its
+    text, and stays only if its group has no ids. Of rows that repeat id and text one stays; an empty table stays empty.
     """
     number = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
     rows = docs.select(*COLUMNS, F.coalesce("doc_id", number).alias("row_id"))
-    found = near_copies.near_duplicates(rows.select(F.col("row_id").alias("doc_id"), "text"))
+    found = simhash.near_duplicates(rows.select(F.col("row_id").alias("doc_id"), "text"), shingle=3, max_bits=3)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("row_id")).distinct()
     return rows.join(kept, "row_id", "left_semi").dropDuplicates(["row_id", "text"]).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix of sources by weight takes them."""
+    """The documents as often as the mix of sources by weight takes them.
+
+    A null source is one of its own, the last; a null text has no words and is never taken; each of several equal rows is
+    taken for itself; an empty table stays empty.
+    """
     return mixing.mixed(docs.select(*COLUMNS))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents and their places in sequences of 1024."""
+    """Token pieces of all documents and their places in sequences of 1024.
+
+    A null or empty text is one piece, the end id; rows that the mix repeats are packed each for itself; no documents make
+    no pieces.
+    """
     return packing.pack(packing.pieces(docs))
 
 
@@ -58,6 +66,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; each result is written and read again, whatever nulls, repeats or no rows it has."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir))
