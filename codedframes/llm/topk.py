@@ -12,6 +12,8 @@ from codedframes.llm.common import saved
 
 #: Bins of a histogram round; vectors of a block of candidates and of queries.
 BINS, BLOCK, QUERY_BLOCK = 256, 4096, 512
+#: Scaled components, and products of two vectors' lengths, have to stay below this.
+MOST = 1 << 61
 
 
 def _blocks(vectors: DataFrame, scale: int, every: int) -> DataFrame:
@@ -25,6 +27,8 @@ def _blocks(vectors: DataFrame, scale: int, every: int) -> DataFrame:
                     continue
                 v = np.asarray(x.values.to_numpy(zero_copy_only=False), dtype=np.float64)
                 if np.isfinite(v).all():
+                    if np.abs(v).max(initial=0) * scale >= MOST:
+                        raise ValueError(f"Vector {i}: a component times {scale} is {MOST:.3g} or more, so its scores don't fit 64 bits")
                     kept.setdefault(len(v), []).append((i, np.floor(scale * v)))
             for dim, rows in kept.items():
                 for query in (False, True):
@@ -51,8 +55,9 @@ def _width(values: np.ndarray) -> int:
 
 
 def _matrix(row: dict, side: str) -> tuple[np.ndarray, np.ndarray]:
-    values = np.frombuffer(row[f"{side}_values"], f"<i{row[f'{side}_width']}").reshape(-1, row["dim"])
-    return np.frombuffer(row[f"{side}_ids"], np.int64), values
+    values = np.frombuffer(row[f"{side}_values"], f"<i{row[f'{side}_width']}")
+    ids = np.frombuffer(row[f"{side}_ids"], np.int64)
+    return ids, values.reshape(len(ids), row["dim"])
 
 
 def _scores(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -72,7 +77,8 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64) ->
     one value wide. A last pass sends what scores higher, and of the ties at the kth value the smallest ids, at most k
     per block: ties of any number are cut without being gathered.
 
-    Null ids, and vectors that are null or have null or non-finite components take no part; vectors of another length than
+    Null ids, and vectors that are null or have null or non-finite components take no part; empty vectors are candidates of
+    each other, with score 0. Vectors so long that a score may not fit 64 bits are refused. Vectors of another length than
     the query's are no candidates. Queries with fewer than k candidates get all. An empty table gives no rows.
     Candidate blocks stay where they are; each query block goes to each of them once a pass.
     """
@@ -88,6 +94,8 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64) ->
     names = [(r["lane"], r["dim"], r["norm"]) for r in lanes.select("lane", "dim", "norm").collect()]
     lanes, spark = lanes.drop("norm"), vectors.sparkSession
     most_norm = max((n for _, _, n in names), default=0.0)
+    if (queries.agg(F.max("q_norm")).first()[0] or 0.0) * most_norm >= MOST:
+        raise ValueError(f"Scores of vectors of length {most_norm:.3g} (times {scale}) don't fit 64 bits")
     of_dim = spark.createDataFrame([(lane, dim) for lane, dim, _ in names], "lane long, dim int")
     dealt = queries.drop("q_norm").join(of_dim, "dim")
 
