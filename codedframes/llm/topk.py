@@ -139,7 +139,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64) ->
         hit = sums.where(f"before + sum >= {k} AND before + sum - n < {k}")
         # A query without k candidates takes all: its kth value is below every score.
         here = base.join(hit.select("q_block", "at", "bin", "n", "sum"), ["q_block", "at"], "left").select(
-            "q_block", "at", F.expr(f"CASE WHEN bin IS NULL THEN low - 1 ELSE low + bin * {step} END").alias("low"),
+            "q_block", "at", F.expr(f"CASE WHEN bin IS NULL THEN low - 1 ELSE low + CAST(bin AS long) * {step} END").alias("low"),
             F.expr("CASE WHEN bin IS NULL THEN before ELSE before + sum - n END").alias("above"),
         )
         cells = F.sort_array(F.collect_list(F.struct("at", "low", "above")))
