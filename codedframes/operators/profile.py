@@ -26,7 +26,8 @@ def profile_columns(frame: DataFrame) -> DataFrame:
         "array_compact(array(" + ", ".join(f"IF({quote_name(name)} IS NULL, NULL, {i})" for i, (name, _) in entries[at:at + SLICE]) + "))"
         for at in range(0, len(entries), SLICE)
     ]
-    filled = frame.selectExpr(f"flatten(array({', '.join(slices)})) AS filled").select(F.explode("filled").alias("at"))
+    # The outer form keeps Spark from testing the array's size first, which would work it out twice.
+    filled = frame.selectExpr(f"flatten(array({', '.join(slices)})) AS filled").select(F.explode_outer("filled").alias("at"))
     counted = filled.groupBy("at").agg(F.count("*").alias("non_null"))
     names = frame.sparkSession.createDataFrame([(i, name, kind) for i, (name, kind) in entries], "at int, name string, dtype string")
     return names.join(counted, "at", "left").select("name", "dtype", F.coalesce("non_null", F.lit(0)).alias("non_null"))
