@@ -1,4 +1,4 @@
-"""Best-fit packing of token pieces into sequences, with exact complements first."""
+"""Packing of token pieces into sequences: exact complements of each gap, best fit where there are none."""
 
 from __future__ import annotations
 
@@ -69,92 +69,111 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
 
 
-def _exact(have: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """Lengths, one to three, that are there and add up to the gap: fewest first, then the longest."""
-    there = have > 0
-    if there[gap]:
-        return (gap,)
+class Sums:
+    """How many combinations of one, two and three pieces that are there give each total up to the capacity.
 
-    def pair(total: int, most: int) -> tuple[int, int] | None:
-        first = np.arange(min(total - 1, most), (total - 1) // 2, -1)
-        found = first[there[first] & there[total - first]]
-        for a in found[:2]:  # two of one length need a count of two
-            if 2 * a != total or have[a] > 1:
-                return int(a), int(total - a)
+    A combination may use a length as often as it is there. `change` keeps the three tables right as counts go up or
+    down: only the first three pieces of a length matter, and each of them costs a few additions of whole tables.
+    """
+
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.have = np.zeros(capacity + 1, dtype=np.int64)
+        self.one, self.two, self.three = (np.zeros(capacity + 1, dtype=np.int64) for _ in range(3))
+        for length, n in counts.items():
+            self.change(length, n)
+
+    def change(self, length: int, by: int) -> None:
+        before, after = (min(int(n), 3) for n in (self.have[length], self.have[length] + by))
+        self.have[length] += by
+        for level in range(before + 1, after + 1):
+            self._copy(length, level, 1)
+        for level in range(before, after, -1):
+            self._copy(length, level, -1)
+
+    def _copy(self, length: int, level: int, sign: int) -> None:
+        """Add or take the combinations that use exactly `level` pieces of the length."""
+        others = self.one.copy()
+        others[length] = 0
+        if level == 1:
+            other_pairs = self.two if sign > 0 else self.two - _raised(others, length)
+            self.three += sign * _raised(other_pairs, length)
+            self.two += sign * _raised(others, length)
+            self.one[length] += sign
+        elif level == 2:
+            self.three += sign * _raised(others, 2 * length)
+            self.two[2 * length:2 * length + 1] += sign
+        else:
+            self.three[3 * length:3 * length + 1] += sign
+
+    def longest(self, most: int) -> int:
+        """The longest length up to `most` that is there; 0 if none."""
+        there = np.flatnonzero(self.one[:most + 1])
+        return int(there[-1]) if len(there) else 0
+
+    def _pair(self, total: int) -> tuple[int, int] | None:
+        """Two pieces of this total, as equal as can be."""
+        first = np.arange((total + 1) // 2, total)
+        fits = (self.one[first] > 0) & (self.one[total - first] > 0)
+        if total % 2 == 0 and self.have[total // 2] < 2:
+            fits[:1] = False
+        return (int(first[fits.argmax()]), int(total - first[fits.argmax()])) if fits.any() else None
+
+    def complement(self, gap: int, slack: int) -> tuple[int, ...] | None:
+        """One, two or three lengths that are there and fill the gap exactly.
+
+        Their longest is at most `slack` shorter than the longest that fits, so that the gap doesn't use up the short
+        pieces that other gaps need; the rest is one piece, or the most equal two.
+        """
+        if self.one[gap]:
+            return (gap,)
+        if not self.two[gap] and not self.three[gap]:
+            return None
+        top = self.longest(gap)
+        for length in np.flatnonzero(self.one[:top + 1])[::-1].tolist():
+            if top - length > slack:
+                return None
+            self.change(length, -1)
+            rest = gap - length
+            found = (rest,) if self.one[rest] else self._pair(rest) if self.two[rest] else None
+            self.change(length, 1)
+            if found:
+                return (length, *found)
         return None
 
-    two = pair(gap, gap)
-    if two:
-        return two
-    for a in np.flatnonzero(there[:gap - 1])[::-1]:
-        have[a] -= 1
-        there[a] = have[a] > 0
-        rest = pair(int(gap - a), int(a))
-        have[a] += 1
-        there[a] = True
-        if rest:
-            return (int(a), *rest)
-        if 3 * a < gap:
-            break
-    return None
-
-
-def _best_fit(have: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Bins of so many pieces of each length, best fit, longest first, whole groups of equal bins at a time."""
-    open_: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
-    for length in range(capacity, 0, -1):
-        left = int(have[length])
-        while left:
-            gap = next((g for g in range(length, capacity) if open_[g]), None)
-            if gap is None:
-                per = capacity // length
-                full, rest = divmod(left, per)
-                for n, k in ((full, per), (1, rest)):
-                    if n and k:
-                        open_[capacity - k * length].append(((length,) * k, n))
-                break
-            lengths, n = open_[gap].pop()
-            k = min(gap // length, max(1, left // n))
-            used = min(n, left // k)
-            open_[gap - k * length].append((lengths + (length,) * k, used))
-            if used < n:
-                open_[gap].append((lengths, n - used))
-            left -= used * k
-    return [x for group in open_.values() for x in group]
+
+def _raised(sums: np.ndarray, by: int) -> np.ndarray:
+    """The table of the same combinations with one more length."""
+    out = np.zeros_like(sums)
+    out[by:] = sums[:max(len(sums) - by, 0)]
+    return out
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Bins (lengths, how many such bins) for so many pieces of each length; its work depends on the capacity alone.
 
-    From the longest length down, combinations of one, two or three lengths that exactly fill its gap are used up as far
-    as the counts go. What is left is packed best fit. Complements can use up short pieces that long ones need later, so
-    all pieces are packed best fit as well, and the plan of fewer bins is kept.
+    A bin begins with the longest piece left. If one, two or three lengths that are there fill its gap exactly, they
+    close it; if not, the longest piece that fits goes in (best fit), and the smaller gap is looked up again. As many equal
+    bins are made at once as the counts allow, so each step uses up a length or leaves fewer than four pieces of it.
     """
-    have = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in counts.items():
-        have[length] = n
-    plain = _best_fit(have, capacity)
-    bins: list[tuple[tuple[int, ...], int]] = []
-    if have[capacity]:
-        bins.append(((capacity,), int(have[capacity])))
-        have[capacity] = 0
-    for most in (1, 2, 3):
-        for length in range(capacity - 1, 0, -1):
-            while have[length]:
-                have[length] -= 1
-                fill = _exact(have, capacity - length)
-                have[length] += 1
-                if not fill or len(fill) > most or max(fill) > length:
-                    break
-                lengths, uses = (length, *fill), defaultdict(int)
-                for x in lengths:
-                    uses[x] += 1
-                n = min(int(have[x]) // k for x, k in uses.items())
-                for x, k in uses.items():
-                    have[x] -= n * k
-                bins.append((lengths, n))
-    bins += _best_fit(have, capacity)
-    return min(plain, bins, key=lambda found: sum(n for _, n in found))
+    sums, bins = Sums(counts, capacity), []
+    while sums.longest(capacity):
+        lengths: list[int] = []
+        gap, fill = capacity, None
+        while gap and not fill:
+            fill = sums.complement(gap, capacity // 16) if lengths else None
+            nxt = 0 if fill else sums.longest(gap)
+            if not fill and not nxt:
+                break
+            for length in fill or (nxt,):
+                lengths.append(length)
+                sums.change(length, -1)
+                gap -= length
+        uses = {x: lengths.count(x) for x in lengths}
+        more = min(int(sums.have[x]) // k for x, k in uses.items())
+        for x, k in uses.items():
+            sums.change(x, -more * k)
+        bins.append((tuple(lengths), more + 1))
+    return bins
 
 
 def slots(bins: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
