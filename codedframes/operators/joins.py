@@ -7,7 +7,7 @@ from collections.abc import Hashable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import quote_name
@@ -62,11 +62,16 @@ def lookup_join(
     return facts.where(~apart).join(lookup, key, "left").unionByName(kept)
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path not used before, in the shared checkpoint folder, or else below the warehouse folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/stored-{uuid.uuid4().hex}"
+
+
 def stored(frame: DataFrame) -> DataFrame:
-    """The frame as a table in the shared checkpoint folder, or else below the warehouse folder: worked out once."""
+    """The frame as a table in the shared folder: worked out once."""
     spark = frame.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{folder.rstrip('/')}/stored-{uuid.uuid4().hex}"
+    path = new_path(spark)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .joins import BROADCAST_BYTES, stored
+from .joins import BROADCAST_BYTES, new_path, stored
 
 _AT = "__at"
 _FILE = "__file"
@@ -91,13 +91,44 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     return sorted(frame.inputFiles())
 
 
+def leading_bytes(file: str, first_rows: int, scan: Callable[[Sequence[str]], DataFrame]) -> str | None:
+    """A copy, in the shared folder, of the first bytes of `file`, which hold more than `first_rows` rows.
+
+    A scan of a file opens all of its splits, so the rows are looked for in growing pieces of the first split's size at
+    most, streamed by the driver. One row more than asked for means that the last of these isn't cut. None if the file has one
+    split, is compressed, or the first split has too few rows.
+    """
+    spark = scan([file]).sparkSession
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    source = hadoop.fs.Path(file)
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    compressed = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(source) is not None
+    if compressed or source.getFileSystem(conf).getFileStatus(source).getLen() <= split:
+        return None
+    for size in (split // 16, split // 4, split):
+        copy = hadoop.fs.Path(new_path(spark))
+        read, write = source.getFileSystem(conf).open(source), copy.getFileSystem(conf).create(copy)
+        try:
+            spark._jvm.org.apache.commons.io.IOUtils.copyLarge(read, write, 0, size)
+        finally:
+            read.close()
+            write.close()
+        if scan([copy.toString()]).count() > first_rows:
+            return copy.toString()
+    return None
+
+
 def first_files(
     files: Sequence[str], first_rows: int, scan: Callable[[Sequence[str]], DataFrame]
 ) -> Sequence[str]:
     """The shortest doubling run of leading files that holds `first_rows` rows.
 
-    Later files are never opened, so a few rows of a huge extract are cheap.
+    Later files are never opened, so a few rows of a huge extract are cheap. If the first file has several splits and its
+    first bytes hold the rows, the run is a copy of these bytes.
     """
+    start = leading_bytes(files[0], first_rows, scan) if files else None
+    if start:
+        return [start]
     taken = 1
     while taken < len(files):
         if scan(files[:taken]).count() >= first_rows:

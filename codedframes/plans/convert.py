@@ -12,7 +12,7 @@ from ..operators.types import type_map
 from ..sinks.parquet import check_output, check_outputs_apart, repartition, write_manifest, write_parquet
 from ..sources.codings import ID_PATTERN, read_coding_files, route_encodings
 from ..sources.dictionary import parse_dictionary, parse_encodings, read_pages
-from ..sources.extract import read_header, scan_extract
+from ..sources.extract import check_quotes, read_header, scan_extract
 from .spec import ConversionSpec
 from .typed import ColumnPlan, cast_extract, check_types, plan_columns
 
@@ -55,16 +55,26 @@ def typed_extract(
     encodings: DataFrame,
     spec: ConversionSpec,
     plan: ColumnPlan | None = None,
+    checked: set[str] | None = None,
 ) -> DataFrame:
-    """The extract with all types applied, lazily; first rows and index if asked for. `plan` is a resolution made before."""
+    """The extract with all types applied, lazily; first rows and index if asked for.
+
+    `plan` is a resolution made before, `checked` holds the charsets in which all lines' quotes were checked before.
+    """
     plan = plan or resolve(spark, names, dictionary, encodings, spec)
 
     def scan(files):
         return scan_extract(spark, files, names, spec.tab_offset, spec.encoding)
 
     keep = [INDEX] if spec.row_index else []
+    files = first_files(list_files(spark, path), spec.nrows, scan) if spec.nrows else path
+    if spec.check_quotes and spec.encoding not in (checked or ()):
+        # Every file begins with its header; a cut last line lies behind the first rows.
+        check_quotes(spark, files, spec.encoding, spec.nrows + len(files) if spec.nrows else 0)
+        if checked is not None and not spec.nrows:
+            checked.add(spec.encoding)
     if spec.nrows:
-        raw = with_row_index(scan(first_files(list_files(spark, path), spec.nrows, scan)), INDEX, spec.nrows)
+        raw = with_row_index(scan(files), INDEX, spec.nrows)
     elif spec.row_index:
         raw = with_row_index(scan(path), INDEX)
     else:
@@ -96,7 +106,7 @@ def convert(
     dictionary, encodings = load_dictionary(spark, dictionary_path, coding_path, id_pattern)
     headers: dict[str, list[str]] = {}
     try:
-        typed, plans = {}, {}
+        typed, plans, checked = {}, {}, set()
         for name, spec in named.items():
             if spec.encoding not in headers:
                 headers[spec.encoding] = read_header(spark, extract_path, spec.encoding)
@@ -104,7 +114,7 @@ def convert(
             key = resolution_key(names, spec)
             if key not in plans:
                 plans[key] = resolve(spark, names, dictionary, encodings, spec)
-            typed[name] = typed_extract(spark, extract_path, names, dictionary, encodings, spec, plans[key])
+            typed[name] = typed_extract(spark, extract_path, names, dictionary, encodings, spec, plans[key], checked)
         for name, spec in named.items():
             frame = repartition(typed[name], spec.npartitions)
             write_parquet(frame, spec.out_path, spec.settings, spec.force, inputs)

@@ -17,6 +17,7 @@ class ConversionSpec:
     `tab_offset` > 0 means empty cells at the start of data rows, < 0 at the
     end. `dtype_dict` is a two-level mapping or the name of a default one.
     `index_categories` stores categories as their list positions.
+    `check_quotes` reads the lines once more beforehand and refuses quoted cells with line breaks.
     """
 
     out_path: str
@@ -31,6 +32,7 @@ class ConversionSpec:
     settings: Mapping = field(default_factory=dict)
     index_categories: bool = False
     description: str | None = None
+    check_quotes: bool = True
 
     def __post_init__(self):
         if not self.out_path:

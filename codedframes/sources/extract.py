@@ -11,10 +11,12 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import CHARSET, PLACEHOLDER
 from ..functions.text import cp1252_from_latin1, missing_to_null, quote_name
+from ..operators.order import with_row_index
 
 CP1252_NAMES = ("windows-1252", "cp1252", "windows1252")
 SPARK_CHARSETS = ("us-ascii", "iso-8859-1", "utf-8", "utf-16be", "utf-16le", "utf-16", "utf-32")
@@ -103,6 +105,33 @@ def scan_extract(
     )
 
 
+def open_quotes(lines: DataFrame) -> DataFrame:
+    """The rows of `lines` (line, ...) with a quoted cell that is still open at the line's end, and that `cell`.
+
+    A cell is quoted if it begins with a quote; in it, two quotes stand for one. A break inside such a cell makes two
+    rows of one. Quoted cells are taken out of the line piece by piece, so no cell is too long or has too many quotes.
+    """
+    rest = F.regexp_replace("line", r'(^|\t|\G)"[^"]*"', "$1")
+    cell = F.regexp_extract(rest, r'(?:^|\t)("[\s\S]*)', 1)
+    return lines.withColumn("cell", cell).where("cell <> ''")
+
+
+def check_quotes(spark: SparkSession, path: str | Sequence[str], charset: str = CHARSET, first_lines: int = 0) -> None:
+    """Raise, with file and cell, if a quoted cell has a line break in it: line-splittable scans would make two rows of it.
+
+    With `first_lines`, only these of all lines in file order, headers included, are looked at.
+    """
+    lines = spark.read.schema("line string").options(sep="\x01", quote="", encoding=reader_charset(spark, charset)).csv(
+        path if isinstance(path, str) else list(path))
+    lines = lines.select("line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    if first_lines:
+        lines = with_row_index(lines, "number", first_lines)
+    found = open_quotes(lines).select("file", "block", F.substring("cell", 1, 60).alias("cell")).take(5)
+    if found:
+        places = [f"{r['file']}, after byte {r['block']}: {r['cell']!r}" for r in found]
+        raise ValueError(f"Quoted cells have line breaks in them: {'; '.join(places)}")
+
+
 def clean_cells(raw: DataFrame, names: Sequence[str], text_names: Sequence[str] = (), charset: str = CHARSET) -> DataFrame:
     """Missing-value tokens to NULL, and the charset of `text_names` put right.
 

@@ -4,7 +4,7 @@ import pytest
 
 from codedframes.operators.order import first_files, list_files, with_row_index
 from codedframes.operators.profile import profile_columns
-from codedframes.sources.extract import add_placeholders, read_extract, read_header, scan_extract
+from codedframes.sources.extract import add_placeholders, check_quotes, open_quotes, read_extract, read_header, scan_extract
 from entry_data import write_extract
 
 
@@ -105,6 +105,47 @@ def test_file_order(spark, folder):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_first_rows_of_one_large_file(spark, folder):
+    path = put(folder, "a.tsv", "n\tt\n" + "".join(f"{i}\tcell {i}\n" for i in range(20_000)))
+    size = os.path.getsize(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 10))
+    try:
+        def scan(files):
+            return scan_extract(spark, files, ["n", "t"])
+
+        assert scan([path]).rdd.getNumPartitions() > 8
+        for n in (1, 100, 1200, 1900, 5000, 30_000):
+            used = first_files(list_files(spark, folder), n, scan)
+            found = with_row_index(scan(used), "index", n).orderBy("index").collect()
+            assert [tuple(r) for r in found] == [(i, str(i), f"cell {i}") for i in range(min(n, 20_000))]
+            small = used != list_files(spark, folder)
+            assert small == (n < 1905)
+            # No more than the first split's bytes are read of the file.
+            assert not small or os.path.getsize(used[0].removeprefix("file:")) <= size // 10
+            assert small != (list_files(spark, folder)[0] in scan(used).inputFiles())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("line, cell", [
+    ('a\t"x', '"x'), ('"a""b"\tc', None), ('a""\t"b', '"b'), ('"a\t"', None), ('"abc""', '"'), ('"', '"'), ('""', None), ("", None),
+    ('"a"\t""\t"b"x\tmid"q', None), ('"a\tb" \t"c"', None), ('"a\t"\t"b\t', '"b\t'), ('x\t"a""\t""b"', None), (None, None),
+    ('"' + '""' * 100_000 + '"', None), ("\t".join(['"a""b"'] * 20_000) + '\t"', '"'),
+])
+def test_open_quotes(spark, line, cell):
+    found = open_quotes(spark.createDataFrame([(line, "k")], "line string, cell string")).collect()
+    assert [r["cell"] for r in found] == ([cell] if cell else [])
+
+
+def test_quoted_line_breaks_are_refused(spark, folder):
+    path = put(folder, "a.tsv", 'a\tb\tc\n1\t"x ""y"\t3\n2\t"y\nz"\t3\n')
+    with pytest.raises(ValueError, match=r"a\.tsv, after byte 0: '\"y'"):
+        check_quotes(spark, path)
+    check_quotes(spark, path, first_lines=2)
+    with pytest.raises(ValueError, match="line breaks"):
+        check_quotes(spark, path, first_lines=3)
+
+
 def test_profile(spark):
     frame = spark.createDataFrame([(1, None), (2, "x")], "`a.b` int, `it's` string")
     assert sorted(cells(profile_columns(frame))) == [("a.b", "int", 2), ("it's", "string", 1)]
