@@ -82,7 +82,7 @@ RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
 
 
 def _hits(terms) -> str:
-    return " + ".join(f"CAST(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INT)" for t in terms)
+    return " + ".join(f"CAST(regexp_matches(low, '(^|[^a-z0-9]){t}s?([^a-z0-9]|$)') AS INT)" for t in terms)
 
 
 URL_SQL = f"""
@@ -100,7 +100,7 @@ judged AS (
   FROM parts)
 SELECT page_id, host, path, rule,
        CASE {" ".join(f"WHEN rule = '{r}' THEN '{v}'" for r, v in RULES)}
-            WHEN strict_hits > 0 OR soft_hits >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
+            WHEN strict_hits > 0 OR soft_hits >= {urls.LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
        CAST(strict_hits AS INT) AS strict_hits, CAST(soft_hits AS INT) AS soft_hits
 FROM judged
 """
