@@ -283,6 +283,18 @@ def _orders_scan(spark, path, columns=("o_orderkey", "o_orderdate")):
     return lambda files: extract.scan_extract(spark, files, names).select(*columns)
 
 
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '"' || o_orderpriority ELSE '"' END AS cell
+FROM orders WHERE o_orderstatus IN ('F', 'O')
+""")
+def open_quotes(spark, sf_dir):
+    """Lines whose last quoted cell has no end; other quoted cells hold tabs and doubled quotes."""
+    orders = data.table(spark, sf_dir, "orders")
+    last = F.expr("CASE o_orderstatus WHEN 'F' THEN concat('\"', o_orderpriority) WHEN 'O' THEN '\"' ELSE concat('\"', o_orderpriority, '\"') END")
+    line = F.concat_ws("\t", F.lit('"tab\t""in"" cell"'), F.lit('""'), F.lit('mid"quote'), last)
+    return extract.open_quotes(orders.select("o_orderkey", line.alias("line"))).drop("line")
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders ORDER BY orders.o_orderkey LIMIT 100")
 def first_rows(spark, sf_dir):
     """K3: the first 100 rows in file order."""

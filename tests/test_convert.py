@@ -39,6 +39,26 @@ def inputs(folder, dictionary_file):
     return write
 
 
+def test_manifest_reads_footers_alone(spark, folder):
+    spark.range(1000).selectExpr("id", "uuid() AS t").repartition(3).write.parquet(folder + "/out")
+    frame = sink.manifest(spark, folder + "/out")
+    assert sum(r["rows"] for r in frame.collect()) == 1000
+    scans = [line for line in frame._jdf.queryExecution().toString().split("\n") if "FileScan parquet" in line]
+    assert scans and all("ReadSchema: struct<>" in line for line in scans)
+
+
+def test_broken_quotes_stop_a_conversion_before_any_write(spark, folder, inputs):
+    extract, page, codings = inputs()
+    broken = folder + "/broken.tsv"
+    with open(extract, "rb") as old, open(broken, "wb") as new:
+        new.write(old.read() + b'9\t1\t-1\t1960\t"x\ny"\n')
+    with pytest.raises(ValueError, match="line breaks"):
+        convert(spark, broken, page, {"a": ConversionSpec(folder + "/a"), "b": ConversionSpec(folder + "/b", nrows=1)}, codings)
+    assert not os.path.exists(folder + "/a") and not os.path.exists(folder + "/b")
+    convert(spark, broken, page, {"b": ConversionSpec(folder + "/b", nrows=1)}, codings)
+    assert spark.read.parquet(folder + "/b").count() == 1
+
+
 def test_many_outputs(spark, folder, inputs):
     extract, page, codings = inputs()
     specs = {
