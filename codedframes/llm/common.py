@@ -27,10 +27,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: With this setting, the shuffles of a write are deleted when it ends, not when the driver happens to collect garbage.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(frame: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read again: its lineage ends there, and it outlives executors."""
     path = f"{shared_folder(frame.sparkSession)}/llm-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    conf = frame.sparkSession.conf
+    before = conf.get(CLEANED, "false")
+    conf.set(CLEANED, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        conf.set(CLEANED, before)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
