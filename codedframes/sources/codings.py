@@ -54,8 +54,9 @@ def parse_coding_texts(
         .select(
             "encoding_id",
             _fields(F.try_element_at(F.col("lines"), F.lit(skip_lines + 1))).alias("names"),
-            F.posexplode(body).alias("at", "line"),
+            body.alias("body"),
         )
+        .select("encoding_id", "names", F.posexplode("body").alias("at", "line"))
         .select("encoding_id", "names", "at", _fields(F.col("line")).alias("fields"))
         .select(
             "encoding_id",

@@ -94,8 +94,9 @@ def parse_encodings(pages: DataFrame) -> DataFrame:
         .select("dict_id", "ids", F.posexplode("codings").alias("at", "coding"))
         .where(F.array_position("ids", coding["encoding_id"]) == F.col("at") + 1)
         .select("dict_id", coding["encoding_id"].alias("encoding_id"), M.rows(coding["html"]).alias("rows"))
-        .select("dict_id", "encoding_id", M.header_names(F.col("rows")).alias("names"),
-                F.posexplode(F.filter("rows", M.is_data_row)).alias("at", "row"))
+        # The header is read below the explode: beside it, it would be searched for in all rows of a table again for each of them.
+        .select("dict_id", "encoding_id", M.header_names(F.col("rows")).alias("names"), F.filter("rows", M.is_data_row).alias("data"))
+        .select("dict_id", "encoding_id", "names", F.posexplode("data").alias("at", "row"))
         .select("dict_id", "encoding_id", "names", "at", M.texts(F.col("row")).alias("cells"))
         .select(
             "dict_id",

@@ -4,12 +4,14 @@ import pytest
 
 from codedframes.sources.codings import (
     hierarchical_flags,
+    parse_coding_texts,
     read_coding_files,
     read_coding_texts,
     rejected_codings,
     selectable_only,
     unresolved_encodings,
 )
+from codedframes.sources.dictionary import parse_encodings
 
 HEAD = "preamble\n" * 7
 
@@ -55,3 +57,14 @@ def test_routing(dictionary, encodings):
 def test_headings_are_not_selectable(encodings):
     kept = selectable_only(encodings).where("encoding_id = '77'").orderBy("pos").collect()
     assert [r["code"] for r in kept] == ["501", "502"]
+
+
+def test_the_header_is_read_once_a_table(pages, spark):
+    """Nothing above the explode of a table's rows looks for its header: that would search all rows again for each row."""
+    texts = spark.createDataFrame([("1", "h\ncoding\tmeaning\n1\tone\n2\ttwo")], "encoding_id string, content string")
+    for frame, header in ((parse_encodings(pages), "(?i)<th"), (parse_coding_texts(texts, 1), "lines#")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        above, generate, below = plan.partition("Generate posexplode")
+        assert generate and header not in above and header in below
+    rows = parse_coding_texts(texts, 1).orderBy("pos").collect()
+    assert [(r["pos"], r["code"], r["meaning"]) for r in rows] == [(1, "1", "one"), (2, "2", "two")]
