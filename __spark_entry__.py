@@ -801,9 +801,17 @@ def _many_columns(spark, sf_dir, index_categories):
         "false AS is_hierarchical")
     plan = plan_columns(spark, cells.columns, data.column_dictionary(spark, kinds), codes, max_categories=1024)
     typed = cast_extract(cells, plan, "utf-8", index_categories)
-    kept = typed.selectExpr(*keys, f"array_compact(array({', '.join(quote_name(n) for n in names)})) AS c")
-    zero = "0L" if index_categories else "0D"
-    return kept.selectExpr(*keys, f"IF(size(c) = 0, NULL, aggregate(c, {zero}, (s, x) -> s + x)) AS total", "CAST(size(c) AS bigint) AS n")
+    kind = "bigint" if index_categories else "double"
+    total = _added([f"coalesce(CAST({quote_name(n)} AS {kind}), CAST(0 AS {kind}))" for n in names])
+    kept = typed.selectExpr(*keys, f"{total} AS total", f"{_added([f'IF({quote_name(n)} IS NULL, 0L, 1L)' for n in names])} AS n")
+    return kept.selectExpr(*keys, "IF(n = 0, NULL, total) AS total", "n")
+
+
+def _added(terms: list[str]) -> str:
+    """The sum of the terms, with no deep nesting: it is compiled in small methods, as an array of many columns is not."""
+    while len(terms) > 1:
+        terms = [f"({' + '.join(terms[i:i + 8])})" for i in range(0, len(terms), 8)]
+    return terms[0]
 
 
 @query(COPIES_SQL.format(COPIES, "DOUBLE"))

@@ -137,6 +137,14 @@ def category_value(cell: str, spark_type: str, latin1: bool = False) -> str:
     return f"CASE WHEN {cell} IS NOT NULL THEN coalesce({plain.format(cell)}, {_rarely(cell, other)}) END"
 
 
+def whole_category(cell: str) -> str:
+    """The whole number that a cell is in plain notation, else NULL; `category_value` of a number kind gives the same number.
+
+    Spark's whole numbers may have a DEL character around them, its other numbers not.
+    """
+    return f"IF(contains({cell}, chr(127)), NULL, {_PLAIN_WHOLE.format(cell)})"
+
+
 #: What counts as a number in a coding table, in Python and in Spark alike.
 CODE_NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 

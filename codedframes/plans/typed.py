@@ -20,6 +20,7 @@ from ..operators.casts import (
     close_domain,
     code_value,
     hashed,
+    whole_category,
 )
 from ..operators.joins import BROADCAST_BYTES, Ask, lookup_columns
 from ..operators.order import numbered
@@ -128,13 +129,15 @@ class Treatment:
         value = close_domain(value, listed, self.compared)
         return cast_cell(name, f"({value})", self.target, self.spark_type, self.fmt) if self.dated else value
 
-    def slice_expression(self, names: Sequence[str], literals: dict) -> str:
-        """The values of several columns' raw cells, as one array; its size doesn't depend on their number but for their names."""
-        cells = f"array({', '.join(quote_name(n) for n in names)})"
+    def slice_expression(self, names: Sequence[str], cells: str, literals: dict) -> str:
+        """The values of several columns' raw cells, given as one array; its size doesn't depend on their number but for their names."""
         at = NameAt(tuple(names))
         if self.compared is None:
             return f"transform({cells}, (x, i) -> {cast_cell(at, 'x', self.target, self.spark_type, self.fmt, self.latin1)})"
         values = f"transform({cells}, x -> {category_value('x', self.compared, self.latin1)})"
+        if not self.joined and self.compared != "string":
+            # The second reading of the array also keeps the optimiser from moving it into a lambda, where it isn't compiled.
+            values = f"transform(transform({cells}, x -> {whole_category('x')}), (y, i) -> coalesce(CAST(y AS {self.compared}), {category_value(f'{cells}[i]', self.compared)}))"
         if self.joined:
             return values
         listed = literals[self.encoding_id, self.compared]
@@ -193,20 +196,21 @@ def _cast(raw: DataFrame, treatments: dict[str, Treatment], literals: dict, keep
             # Columns that can't be missing are cast by themselves, which keeps them so.
             if treatment.target not in ("int", "int64"):
                 alike.setdefault(treatment, []).append(name)
-    slices, place = [], {}
+    cells, slices, place = [], [], {}
     for treatment, names in alike.items():
         for at in range(0, len(names) if len(names) > 1 else 0, SLICE):
             part = names[at:at + SLICE]
             place.update({name: f"__slice_{len(slices)}[{i}]" for i, name in enumerate(part)})
-            slices.append(f"{treatment.slice_expression(part, literals)} AS __slice_{len(slices)}")
+            cells.append(f"array({', '.join(quote_name(n) for n in part)}) AS __cells_{len(slices)}")
+            slices.append(f"{treatment.slice_expression(part, f'__cells_{len(slices)}', literals)} AS __slice_{len(slices)}")
     if slices:
         single = [quote_name(n) for n in [*keep, *treatments] if n not in place]
-        raw = raw.selectExpr(*single, *slices)
-    cells = [
+        raw = raw.selectExpr(*single, *cells).selectExpr(*single, *slices)
+    values = [
         f"{place.get(name) or treatment.expression(name, quote_name(name), literals)} AS {quote_name(name)}"
         for name, treatment in treatments.items()
     ]
-    return raw.selectExpr(*[quote_name(k) for k in keep], *cells)
+    return raw.selectExpr(*[quote_name(k) for k in keep], *values)
 
 
 def _close_by_join(frame: DataFrame, columns: dict[str, Treatment], codes: DataFrame, max_broadcast_bytes: int) -> DataFrame:

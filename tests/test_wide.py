@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from codedframes.operators import casts as C
 from codedframes.operators import joins, order, profile
@@ -65,6 +66,26 @@ def test_slices_give_what_single_casts_give(wide, index, joined, monkeypatch):
         assert sliced.orderBy("eid").collect() == single.orderBy("eid").collect()
 
 
+@pytest.mark.parametrize("kind", ["Integer", "Continuous"])
+def test_closed_lists_read_whole_numbers_first(spark, kind, monkeypatch):
+    """Odd spellings give what single casts give, and the array of cells is made in a projection of its own, not in a lambda."""
+    names = ["eid", *[f"6-{i}.0" for i in range(120)]]
+    dictionary, codes = book(spark, names)
+    if kind == "Continuous":
+        dictionary = dictionary.withColumn("Description", F.regexp_replace("Description", "Integer-valued", "Continuous-valued"))
+    odd = ["5", "-0", "+5", " 5 ", "05", "5.0", "5e0", "5\x7f", "\x7f5", "\x015", "5d", "0x5", "1000", "1e3", "NA", "", "NaN", "inf", "59", "60",
+           "9007199254740993", "99999999999999999999", "5.5", None]
+    raw = spark.createDataFrame([(str(r), *[c] * 120) for r, c in enumerate(odd)], ", ".join(f"`{n}` string" for n in names))
+    plan = plan_columns(spark, names, dictionary, codes, type_map(spark))
+    for index in (False, True):
+        monkeypatch.setattr(typed, "WIDE", 100)
+        sliced = cast_extract(raw, plan, "utf-8", index)
+        optimized = sliced._jdf.queryExecution().optimizedPlan().toString()
+        assert "__cells_0" in optimized and "transform(array(6-" not in optimized
+        monkeypatch.setattr(typed, "WIDE", 10_000)
+        assert sliced.orderBy("eid").collect() == cast_extract(raw, plan, "utf-8", index).orderBy("eid").collect()
+
+
 @pytest.mark.parametrize("column, value, message", [
     ("1-3.0", "1d", "Column 1-3.0: not a number: 1d"), ("4-12.0", "2020-02-31", "Column 4-12.0: not a date"), ("eid", "", "Column eid: missing value")])
 def test_slices_name_the_column_of_a_bad_cell(spark, wide, column, value, message):
