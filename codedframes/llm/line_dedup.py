@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from codedframes.llm.common import saved
 from codedframes.llm.components import components
 
-#: Lines of at least LEAST characters also match at one edit (insert, delete or replace one character).
-LEAST = 20
+#: Lines of at least so many characters (the shorter one of two) also match at up to so many edits (insert, delete or
+#: replace one character): one at LEAST, more from the lengths in MORE on.
+LEAST, MORE = 20, ((64, 2), (128, 3))
 #: Lines that share their whole parts are compared in pairs up to so many; larger groups are divided further.
 PAIRED = 8
+#: Segments of lines that may take several edits depend on the length in steps of STEP. What is left of a large group of
+#: these is compared in pairs of blocks of about so many lines.
+STEP, BLOCK = 16, 512
 
 
 def _lines(docs: DataFrame, *more: str) -> DataFrame:
@@ -58,7 +62,88 @@ def _meeting(states) -> DataFrame:
     return saved(states.join(shared, F.col("segment") == F.col("of_segment")).drop("of_segment").distinct())
 
 
+def _edits(n: Column) -> Column:
+    """How many edits a line of n characters may take."""
+    return reduce(lambda e, x: F.when(n >= x[0], x[1]).otherwise(e), MORE, F.when(n >= LEAST, 1).otherwise(0))
+
+
+def _segments(lines: DataFrame) -> DataFrame:
+    """(segment, hash, n): segments of which two lines share one, if they are within 2 or 3 edits, as many as they may take.
+
+    The shorter line has a segment for each edit and one more: the first (at the start), the second (next to it), of three
+    edits the third, and the last (at the end), with the place of those behind the middle counted from the end. If neither
+    the first nor the last is whole in the other line, each holds an edit. Of two edits, the second is then whole and at
+    most one place off. Of three, the second is, or all but one edit come before the third, which is then at most one place
+    off. Their length depends on the line's length, rounded down to STEP, so the longer one mostly has the same.
+    """
+    n, most = F.length("line"), max(t for _, t in MORE)
+    kinds = []
+    for shorter in range(most + 1):
+        edits = _edits(n - shorter)
+        kinds.append(F.when((edits >= 2) & (edits >= shorter), F.struct(
+            edits.alias("edits"), (F.floor((n - shorter) / STEP) * STEP).cast("int").alias("size"))))
+    each = lines.where(n >= MORE[0][0]).select("hash", "line", n.alias("n"), F.explode(F.array_compact(F.array_distinct(F.array(*kinds)))).alias("k"))
+    each = each.select("hash", "line", "n", "k.*").withColumn("long", F.expr("size DIV (edits + 1)"))
+    long = F.col("long")
+
+    def key(no: int, start: Column) -> Column:
+        return F.xxhash64("edits", "size", F.lit(no), F.substring("line", start, long))
+
+    keys = [key(1, F.lit(1)), key(4, F.col("n") - long + 1), *[key(2, long + 1 + s) for s in (-1, 0, 1)]]
+    keys += [F.when(F.col("edits") == 3, key(3, F.col("n") - 2 * long + 1 + s)) for s in (-1, 0, 1)]
+    return each.select(F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("segment"), "hash", "n")
+
+
 def near_edges(lines: DataFrame) -> DataFrame:
+    """Edges (a, b) between hashes of different lines that connect them exactly as all links do.
+
+    Two lines are linked within as many edits as the shorter may take. Shorter lines, and those in large groups of longer
+    ones, go through `_one_edit_edges`. Longer ones that share a segment are verified in pairs, in groups of up to PAIRED.
+    In larger groups, lines that aren't connected by then meet in all pairs, in blocks of about BLOCK, and are verified
+    where they meet: no list of pairs is made, no group has to fit a task, and nothing is left out.
+    """
+    states = _segments(lines)
+    shared = saved(states.groupBy("segment").agg(F.min("hash").alias("x"), F.max("hash").alias("y")).where("x <> y").select(
+        F.col("segment").alias("of_segment")))
+    met = saved(states.join(shared, F.col("segment") == F.col("of_segment")).drop("of_segment").distinct())
+    sizes = saved(met.groupBy("segment").agg(F.count("*").alias("size")).withColumnRenamed("segment", "of_segment"))
+    sized = saved(met.join(sizes, F.col("segment") == F.col("of_segment")).drop("of_segment"))
+    small, large = sized.where(F.col("size") <= PAIRED), sized.where(F.col("size") > PAIRED)
+    wanted = saved(sized.select(F.col("hash").alias("of_hash"), (F.col("size") > PAIRED).alias("large")).groupBy("of_hash").agg(
+        F.max("large").alias("large")))
+    texts = saved(lines.select("hash", "line").join(wanted, F.col("hash") == F.col("of_hash")).groupBy("hash").agg(
+        F.min("line").alias("line"), F.max("large").alias("large")))
+    short = lines.where(F.length("line") <= MORE[0][0]).select("hash", "line")
+    one = _one_edit_edges(short.union(texts.where("large").select("hash", "line")))
+    most = max(t for _, t in MORE)
+    edits = F.levenshtein("line_a", "line_b", most)
+    linked = (edits >= 0) & (edits <= _edits(F.least(F.length("line_a"), F.length("line_b"))))
+    first, second = (texts.select(F.col("hash").alias(c), F.col("line").alias(f"line_{c}")) for c in ("a", "b"))
+    pairs = saved(
+        small.select("segment", F.col("hash").alias("a"), F.col("n").alias("n_a"))
+        .join(small.select("segment", F.col("hash").alias("b"), F.col("n").alias("n_b")), "segment")
+        .where(f"a < b AND abs(n_a - n_b) <= {most}").select("a", "b").distinct()
+    )
+    found = saved(one.union(pairs.join(first, "a").join(second, "b").where(linked).select("a", "b")))
+    if large.isEmpty():
+        return found
+    roots = saved(components(found)).select(F.col("node").alias("of_node"), "root")
+    rooted = saved(large.join(roots, F.col("hash") == F.col("of_node"), "left").select(
+        "segment", "hash", "n", F.coalesce("root", "hash").alias("root")))
+    several = rooted.groupBy("segment").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where("x <> y").select(
+        "segment", F.expr(f"int(ceil(m / {BLOCK}))").alias("blocks"))
+    still = saved(rooted.join(several, "segment").join(texts.select("hash", "line"), "hash"))
+    own, all_blocks = F.expr("int(pmod(xxhash64(hash, 6), blocks))"), F.expr("explode(sequence(0, blocks - 1))")
+    one_side = still.select("segment", own.alias("block"), all_blocks.alias("o_block"), F.col("hash").alias("a"), F.col("n").alias("n_a"),
+                            F.col("root").alias("root_a"), F.col("line").alias("line_a"))
+    other_side = still.select("segment", all_blocks.alias("block"), own.alias("o_block"), F.col("hash").alias("b"), F.col("n").alias("n_b"),
+                              F.col("root").alias("root_b"), F.col("line").alias("line_b"))
+    crossing = one_side.join(other_side, ["segment", "block", "o_block"]).where(
+        F.expr(f"a < b AND root_a <> root_b AND abs(n_a - n_b) <= {most}") & linked).select("a", "b")
+    return found.union(saved(crossing.distinct()))
+
+
+def _one_edit_edges(lines: DataFrame) -> DataFrame:
     """Edges (a, b) between hashes of different lines that connect them exactly as all links at one edit do.
 
     Only segments that two different lines share go on; texts are fetched for those lines alone. Groups of up to PAIRED
@@ -102,7 +187,7 @@ def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, key, text, n_lines, n_removed, removed, carried): each row of `docs` (doc_id, text) without its repeated lines.
 
     Lines (split at line feeds, compared as they are) form classes: equal lines, and lines of at least LEAST characters
-    linked at one edit, directly or through others. The first line of a class stays, in order of doc_id (null last), a
+    linked at one edit, longer ones at up to three (MORE), directly or through others. The first line of a class stays, in order of doc_id (null last), a
     hash of the text, and place; the others go. Blank lines stay. `removed` has the numbers of the lines that went, from
     0. A null text stays null and has no lines; a text may end up empty. Rows that repeat doc_id and text are one
     document and stay alike. `carried` is a struct of the columns named in `carry`; others are not read. An empty table gives no rows.

@@ -72,3 +72,54 @@ def test_repeated_rows_and_empty_table(spark, kinds, none, rows):
     assert len(found) == len(rows) and L.dedup_lines(none).count() == 0
     twice = [r for r in found if r["doc_id"] == rows[7][0] and r["text"] is not None]
     assert len({(r["key"], r["text"]) for r in twice}) == len({r["key"] for r in twice})
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_longer_lines_take_more_edits(spark, monkeypatch):
+    """Lines of 60 to 160 characters against brute force: in small groups, in blocks of large ones, and across the bounds."""
+    rng = random.Random(8)
+
+    def changed(x, n):
+        for _ in range(n):
+            i = rng.randrange(len(x) + 1)
+            x = x[:i] + rng.choice(["", "z", "y"]) + x[i + rng.choice([0, 1]):]
+        return x
+
+    kinds = []
+    for n in (61, 62, 63, 64, 65, 66, 79, 80, 81, 96, 126, 127, 128, 129, 130, 131, 145, 160):
+        base = "".join(rng.choice("abcdef é") for _ in range(n))
+        kinds += [base, *(changed(base, k) for k in (1, 2, 2, 3, 3, 4))]
+    start, end = "a start that many lines have in common, up to here and no more ", " and an end that many of them have as well"
+    kinds += [start + "".join(rng.choice("ab") for _ in range(9)) + end[:rng.randint(30, 42)] for _ in range(60)]
+    kinds = sorted(set(kinds))
+    expected = {x: x for x in kinds}
+
+    def find(x):
+        while expected[x] != x:
+            x = expected[x]
+        return x
+
+    for i, a in enumerate(kinds):
+        for b in kinds[:i]:
+            least = min(len(a), len(b))
+            most = 3 if least >= 128 else 2 if least >= 64 else 1
+            if abs(len(a) - len(b)) <= most and find(a) != find(b) and edits(a, b) <= most:
+                expected[find(a)] = find(b)
+    classes = {}
+    for x in kinds:
+        classes.setdefault(find(x), set()).add(x)
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(kinds)], "doc_id long, text string")
+    for paired, block in ((8, 512), (2, 7)):
+        monkeypatch.setattr(L, "PAIRED", paired)
+        monkeypatch.setattr(L, "BLOCK", block)
+        kept = {r["doc_id"] for r in L.dedup_lines(frame).collect() if not r["n_removed"]}
+        assert kept == {min(kinds.index(x) for x in c) for c in classes.values()}
+    assert 20 < len(classes) < len(kinds) / 2
