@@ -76,13 +76,15 @@ def _segments(lines: DataFrame) -> DataFrame:
     most one place off. Of three, the second is, or all but one edit come before the third, which is then at most one place
     off. Their length depends on the line's length, rounded down to STEP, so the longer one mostly has the same.
     """
-    n, most = F.length("line"), max(t for _, t in MORE)
-    kinds = []
-    for shorter in range(most + 1):
-        edits = _edits(n - shorter)
-        kinds.append(F.when((edits >= 2) & (edits >= shorter), F.struct(
-            edits.alias("edits"), (F.floor((n - shorter) / STEP) * STEP).cast("int").alias("size"))))
-    each = lines.where(n >= MORE[0][0]).select("hash", "line", n.alias("n"), F.explode(F.array_compact(F.array_distinct(F.array(*kinds)))).alias("k"))
+    # Each step reads columns of the one before: inside larger expressions a length would be counted many times over.
+    lines = lines.select("hash", "line", F.length("line").alias("n")).where(F.col("n") >= MORE[0][0])
+    n, most = F.col("n"), max(t for _, t in MORE)
+    kinds = [F.struct(_edits(n - k).alias("edits"), (F.floor((n - k) / STEP) * STEP).cast("int").alias("size")) for k in range(most + 1)]
+    lines = lines.select("hash", "line", "n", *[kind.alias(f"kind_{k}") for k, kind in enumerate(kinds)])
+    # As the shorter line's length falls, so do edits and size: a kind that was there before is next to its like.
+    fresh = [F.col("kind_0"), *[
+        F.when(F.expr(f"kind_{k}.edits >= {max(2, k)} AND kind_{k} <> kind_{k - 1}"), F.col(f"kind_{k}")) for k in range(1, most + 1)]]
+    each = lines.select("hash", "line", "n", F.explode(F.array(*fresh)).alias("k")).where("k IS NOT NULL")
     each = each.select("hash", "line", "n", "k.*").withColumn("long", F.expr("size DIV (edits + 1)"))
     long = F.col("long")
 
@@ -91,7 +93,7 @@ def _segments(lines: DataFrame) -> DataFrame:
 
     keys = [key(1, F.lit(1)), key(4, F.col("n") - long + 1), *[key(2, long + 1 + s) for s in (-1, 0, 1)]]
     keys += [F.when(F.col("edits") == 3, key(3, F.col("n") - 2 * long + 1 + s)) for s in (-1, 0, 1)]
-    return each.select(F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("segment"), "hash", "n")
+    return each.select(F.explode(F.array(*keys)).alias("segment"), "hash", "n").where("segment IS NOT NULL")
 
 
 def near_edges(lines: DataFrame) -> DataFrame:
