@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codedframes.llm.common import saved
+from codedframes.llm.common import drop_saved, saved
 from codedframes.llm.components import components
 
 #: Lines of at least so many characters (the shorter one of two) also match at up to so many edits (insert, delete or
@@ -68,7 +68,7 @@ def _edits(n: Column) -> Column:
 
 
 def _segments(lines: DataFrame) -> DataFrame:
-    """(segment, hash, n): segments of which two lines share one, if they are within 2 or 3 edits, as many as they may take.
+    """(segment, hash, n), each once: segments of which two lines share one, if they are within 2 or 3 edits, as many as they may take.
 
     The shorter line has a segment for each edit and one more: the first (at the start), the second (next to it), of three
     edits the third, and the last (at the end), with the place of those behind the middle counted from the end. If neither
@@ -93,34 +93,48 @@ def _segments(lines: DataFrame) -> DataFrame:
 
     keys = [key(1, F.lit(1)), key(4, F.col("n") - long + 1), *[key(2, long + 1 + s) for s in (-1, 0, 1)]]
     keys += [F.when(F.col("edits") == 3, key(3, F.col("n") - 2 * long + 1 + s)) for s in (-1, 0, 1)]
-    return each.select(F.explode(F.array(*keys)).alias("segment"), "hash", "n").where("segment IS NOT NULL")
+    return each.select(F.explode(F.array_distinct(F.array(*keys))).alias("segment"), "hash", "n").where("segment IS NOT NULL")
+
+
+def _marks(line: str) -> Column:
+    """(pairs, chars), 64 bits each: whether the line holds an odd number of the pairs of neighbours, the characters, that fall to a bit.
+
+    An edit takes away up to two pairs and brings up to two, or one character each, so lines within e edits differ in 4 * e
+    bits of the first and 2 * e of the second at most (`_may_be`).
+    """
+    odd = "aggregate({}, 0L, (all, x) -> all ^ shiftleft(1L, int(x & 63)))"
+    pairs = f"zip_with(slice(split({line}, ''), 1, length({line}) - 1), slice(split({line}, ''), 2, length({line})), (a, b) -> xxhash64(a, b))"
+    chars = f"transform(split({line}, ''), x -> xxhash64(x))"
+    return F.expr(f"struct({odd.format(pairs)} AS pairs, {odd.format(chars)} AS chars)")
+
+
+def _may_be(most: Column) -> Column:
+    """Whether the marks of two lines allow so many edits."""
+    return (F.expr("bit_count(marks_a.pairs ^ marks_b.pairs)") <= 4 * most) & (F.expr("bit_count(marks_a.chars ^ marks_b.chars)") <= 2 * most)
 
 
 def near_edges(lines: DataFrame) -> DataFrame:
     """Edges (a, b) between hashes of different lines that connect them exactly as all links do.
 
-    Two lines are linked within as many edits as the shorter may take. Shorter lines, and those in large groups of longer
+    `lines` (hash, line) has each different line once. Two lines are linked within as many edits as the shorter may take. Shorter lines, and those in large groups of longer
     ones, go through `_one_edit_edges`. Longer ones that share a segment are verified in pairs, in groups of up to PAIRED.
     In larger groups, lines that aren't connected by then meet in all pairs, in blocks of about BLOCK, and are verified
-    where they meet: no list of pairs is made, no group has to fit a task, and nothing is left out.
+    where they meet, if their `_marks` are near enough: no list of pairs is made, and nothing is left out.
     """
-    states = _segments(lines)
-    shared = saved(states.groupBy("segment").agg(F.min("hash").alias("x"), F.max("hash").alias("y")).where("x <> y").select(
-        F.col("segment").alias("of_segment")))
-    met = saved(states.join(shared, F.col("segment") == F.col("of_segment")).drop("of_segment").distinct())
-    sizes = saved(met.groupBy("segment").agg(F.count("*").alias("size")).withColumnRenamed("segment", "of_segment"))
-    sized = saved(met.join(sizes, F.col("segment") == F.col("of_segment")).drop("of_segment"))
+    # Rows are counted where they are sorted by segment: a group's rows are three numbers each and may spill.
+    size = F.count("*").over(Window.partitionBy("segment"))
+    sized = saved(_segments(lines).withColumn("size", size).where("size > 1"))
     small, large = sized.where(F.col("size") <= PAIRED), sized.where(F.col("size") > PAIRED)
-    wanted = saved(sized.select(F.col("hash").alias("of_hash"), (F.col("size") > PAIRED).alias("large")).groupBy("of_hash").agg(
-        F.max("large").alias("large")))
-    texts = saved(lines.select("hash", "line").join(wanted, F.col("hash") == F.col("of_hash")).groupBy("hash").agg(
-        F.min("line").alias("line"), F.max("large").alias("large")))
+    wanted = saved(sized.groupBy(F.col("hash").alias("of_hash")).agg(F.max(F.col("size") > PAIRED).alias("large")))
+    texts = saved(lines.select("hash", "line").join(wanted.hint("shuffle_hash"), F.col("hash") == F.col("of_hash")).select(
+        "hash", "line", "large", _marks("line").alias("marks")))
     short = lines.where(F.length("line") <= MORE[0][0]).select("hash", "line")
-    one = _one_edit_edges(short.union(texts.where("large").select("hash", "line")))
+    one = _one_edit_edges(saved(short.union(texts.where("large").select("hash", "line"))))
     most = max(t for _, t in MORE)
+    may = _edits(F.least(F.length("line_a"), F.length("line_b")))
     edits = F.levenshtein("line_a", "line_b", most)
-    linked = (edits >= 0) & (edits <= _edits(F.least(F.length("line_a"), F.length("line_b"))))
-    first, second = (texts.select(F.col("hash").alias(c), F.col("line").alias(f"line_{c}")) for c in ("a", "b"))
+    linked = _may_be(F.lit(most)) & _may_be(may) & (edits >= 0) & (edits <= may)
+    first, second = (texts.select(F.col("hash").alias(c), F.col("line").alias(f"line_{c}"), F.col("marks").alias(f"marks_{c}")) for c in ("a", "b"))
     pairs = saved(
         small.select("segment", F.col("hash").alias("a"), F.col("n").alias("n_a"))
         .join(small.select("segment", F.col("hash").alias("b"), F.col("n").alias("n_b")), "segment")
@@ -134,12 +148,12 @@ def near_edges(lines: DataFrame) -> DataFrame:
         "segment", "hash", "n", F.coalesce("root", "hash").alias("root")))
     several = rooted.groupBy("segment").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where("x <> y").select(
         "segment", F.expr(f"int(ceil(m / {BLOCK}))").alias("blocks"))
-    still = saved(rooted.join(several, "segment").join(texts.select("hash", "line"), "hash"))
+    still = saved(rooted.join(several, "segment").join(texts.select("hash", "line", "marks"), "hash"))
     own, all_blocks = F.expr("int(pmod(xxhash64(hash, 6), blocks))"), F.expr("explode(sequence(0, blocks - 1))")
     one_side = still.select("segment", own.alias("block"), all_blocks.alias("o_block"), F.col("hash").alias("a"), F.col("n").alias("n_a"),
-                            F.col("root").alias("root_a"), F.col("line").alias("line_a"))
+                            F.col("root").alias("root_a"), F.col("line").alias("line_a"), F.col("marks").alias("marks_a"))
     other_side = still.select("segment", all_blocks.alias("block"), own.alias("o_block"), F.col("hash").alias("b"), F.col("n").alias("n_b"),
-                              F.col("root").alias("root_b"), F.col("line").alias("line_b"))
+                              F.col("root").alias("root_b"), F.col("line").alias("line_b"), F.col("marks").alias("marks_b"))
     crossing = one_side.join(other_side, ["segment", "block", "o_block"]).where(
         F.expr(f"a < b AND root_a <> root_b AND abs(n_a - n_b) <= {most}") & linked).select("a", "b")
     return found.union(saved(crossing.distinct()))
@@ -196,22 +210,22 @@ def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     lines = _lines(docs.withColumn("doc_order", order), "doc_order")
-    counted = lines.groupBy("hash").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_order", "key", "no")).alias("first"))
-    roots = saved(components(near_edges(lines)))
-    rooted = saved(counted).join(roots, F.col("hash") == F.col("node"), "left").where("n > 1 OR root IS NOT NULL").select(
-        F.col("hash").alias("of_hash"), F.coalesce("root", "hash").alias("root"), "first")
-    rooted = saved(rooted)
-    classes = saved(rooted.groupBy(F.col("root").alias("of_root")).agg(F.min("first").alias("stays")))
-    known = saved(rooted.join(classes, F.col("root") == F.col("of_root")).select(
-        "of_hash", F.col("stays.key").alias("stays_key"), F.col("stays.no").alias("stays_no")))
-    gone = lines.select("key", "no", "hash").join(known, F.col("hash") == F.col("of_hash")).where(
-        "key <> stays_key OR no <> stays_no").select(F.col("key").alias("of_key"), "no")
+    # Each different line once, with its text where it may be linked: links are sought in this table, not in the documents.
+    counted = saved(lines.groupBy("hash", F.when(F.length("line") >= LEAST, F.col("line")).alias("line")).agg(F.count("*").alias("n")))
+    roots = saved(components(near_edges(counted.where("line IS NOT NULL").select("hash", "line"))))
+    rooted = saved(counted.select("hash", "n").join(roots, F.col("hash") == F.col("node"), "left").where("n > 1 OR root IS NOT NULL").select(
+        F.col("hash").alias("of_hash"), F.coalesce("root", "hash").alias("root")))
+    drop_saved(counted)
+    places = saved(lines.select("doc_order", "key", "no", "hash").join(rooted.hint("shuffle_hash"), F.col("hash") == F.col("of_hash")).select(
+        "root", F.struct("doc_order", "key", "no").alias("place")))
+    classes = saved(places.groupBy(F.col("root").alias("of_root")).agg(F.min("place").alias("stays")))
+    gone = places.join(classes, F.col("root") == F.col("of_root")).where("place <> stays").select(
+        F.col("place.key").alias("of_key"), "place.no")
     per_text = gone.groupBy("of_key").agg(F.sort_array(F.collect_set("no")).alias("removed"))
     # A map of marks next to the lines would be searched in full for each line; marks in line order are read by place.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text",
                        F.struct(*carry).alias("carried") if carry else F.lit(None).alias("carried"))
-    joined = rows.join(per_text, F.col("key") == F.col("of_key"), "left")
+    joined = rows.join(per_text.hint("shuffle_hash"), F.col("key") == F.col("of_key"), "left")
     split = F.split("text", "\n")
     steps = F.expr("array_append(removed, size(split(text, '\n')))")
     stretches = F.transform(

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from codedframes.llm import line_dedup as L
 
@@ -123,3 +124,36 @@ def test_longer_lines_take_more_edits(spark, monkeypatch):
         kept = {r["doc_id"] for r in L.dedup_lines(frame).collect() if not r["n_removed"]}
         assert kept == {min(kinds.index(x) for x in c) for c in classes.values()}
     assert 20 < len(classes) < len(kinds) / 2
+
+
+def test_marks_allow_all_lines_within_the_edits(spark):
+    """Lines whose edits are within the bound are never told apart by their marks; others of equal length mostly are."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(200):
+        a = "".join(rng.choice("abcdefghi é€😀") for _ in range(rng.randint(20, 200)))
+        b = a
+        for _ in range(rng.choice([1, 2, 3])):
+            at = rng.randrange(len(b) + 1)
+            b = b[:at] + rng.choice(["", "z", "😀"]) + b[at + rng.choice([0, 1]):]
+        other = "".join(rng.sample(a, len(a)))
+        rows.append((i, a, b, other, edits(a, b)))
+    frame = spark.createDataFrame(rows, "i int, a string, b string, other string, edits int")
+    marks = frame.select("edits", L._marks("a").alias("marks_a"), L._marks("b").alias("marks_b"), L._marks("other").alias("marks_o"))
+    found = marks.select(L._may_be(F.col("edits")).alias("near")).collect()
+    assert all(r["near"] for r in found)
+    far = marks.drop("marks_b").withColumnRenamed("marks_o", "marks_b").select(L._may_be(F.lit(3)).alias("near")).collect()
+    assert sum(r["near"] for r in far) < 60
+
+
+def test_links_are_sought_in_the_table_of_lines(spark, monkeypatch):
+    """No step that looks for links splits the documents again."""
+    made, lines_of = [], L._lines
+    monkeypatch.setattr(L, "_lines", lambda *a: made.append(a) or lines_of(*a))
+    edges, read = L.near_edges, []
+    monkeypatch.setattr(L, "near_edges", lambda lines: read.append(lines) or edges(lines))
+    frame = spark.createDataFrame([(i, "one common line of many characters\n" + f"line {i} of its own, and no more") for i in range(300)],
+                                  "doc_id long, text string")
+    assert sum(r["n_removed"] for r in L.dedup_lines(frame).collect()) >= 299
+    plan = read[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(made) == 1 and "Generate" not in plan and "parquet" in plan
