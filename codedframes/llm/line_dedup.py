@@ -133,14 +133,14 @@ def near_edges(lines: DataFrame) -> DataFrame:
     most = max(t for _, t in MORE)
     may = _edits(F.least(F.length("line_a"), F.length("line_b")))
     edits = F.levenshtein("line_a", "line_b", most)
-    linked = _may_be(F.lit(most)) & _may_be(may) & (edits >= 0) & (edits <= may)
+    near, linked = _may_be(F.lit(most)) & _may_be(may), (edits >= 0) & (edits <= may)
     first, second = (texts.select(F.col("hash").alias(c), F.col("line").alias(f"line_{c}"), F.col("marks").alias(f"marks_{c}")) for c in ("a", "b"))
     pairs = saved(
         small.select("segment", F.col("hash").alias("a"), F.col("n").alias("n_a"))
         .join(small.select("segment", F.col("hash").alias("b"), F.col("n").alias("n_b")), "segment")
         .where(f"a < b AND abs(n_a - n_b) <= {most}").select("a", "b").distinct()
     )
-    found = saved(one.union(pairs.join(first, "a").join(second, "b").where(linked).select("a", "b")))
+    found = saved(one.union(pairs.join(first, "a").join(second, "b").where(near & linked).select("a", "b")))
     if large.isEmpty():
         return found
     roots = saved(components(found)).select(F.col("node").alias("of_node"), "root")
@@ -148,14 +148,18 @@ def near_edges(lines: DataFrame) -> DataFrame:
         "segment", "hash", "n", F.coalesce("root", "hash").alias("root")))
     several = rooted.groupBy("segment").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where("x <> y").select(
         "segment", F.expr(f"int(ceil(m / {BLOCK}))").alias("blocks"))
-    still = saved(rooted.join(several, "segment").join(texts.select("hash", "line", "marks"), "hash"))
+    still = saved(rooted.join(several, "segment"))
+    # A line has few segments. Two lines that share several of these are verified in the smallest alone.
+    of_line = still.groupBy("hash").agg(F.sort_array(F.collect_set("segment")).alias("shared"))
+    still = saved(still.join(texts.select("hash", "line", "marks").join(of_line, "hash"), "hash"))
     own, all_blocks = F.expr("int(pmod(xxhash64(hash, 6), blocks))"), F.expr("explode(sequence(0, blocks - 1))")
     one_side = still.select("segment", own.alias("block"), all_blocks.alias("o_block"), F.col("hash").alias("a"), F.col("n").alias("n_a"),
-                            F.col("root").alias("root_a"), F.col("line").alias("line_a"), F.col("marks").alias("marks_a"))
+                            F.col("root").alias("root_a"), F.col("line").alias("line_a"), F.col("marks").alias("marks_a"), F.col("shared").alias("shared_a"))
     other_side = still.select("segment", all_blocks.alias("block"), own.alias("o_block"), F.col("hash").alias("b"), F.col("n").alias("n_b"),
-                              F.col("root").alias("root_b"), F.col("line").alias("line_b"), F.col("marks").alias("marks_b"))
+                              F.col("root").alias("root_b"), F.col("line").alias("line_b"), F.col("marks").alias("marks_b"), F.col("shared").alias("shared_b"))
+    once = F.expr("array_min(array_intersect(shared_a, shared_b)) = segment")
     crossing = one_side.join(other_side, ["segment", "block", "o_block"]).where(
-        F.expr(f"a < b AND root_a <> root_b AND abs(n_a - n_b) <= {most}") & linked).select("a", "b")
+        F.expr(f"a < b AND root_a <> root_b AND abs(n_a - n_b) <= {most}") & near & once & linked).select("a", "b")
     return found.union(saved(crossing.distinct()))
 
 
