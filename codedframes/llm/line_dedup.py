@@ -15,6 +15,8 @@ from codedframes.llm.components import components
 LEAST, MORE = 20, ((64, 2), (128, 3))
 #: Lines that share their whole parts are compared in pairs up to so many; larger groups are divided further.
 PAIRED = 8
+#: In a larger group, a stretch of up to so many characters that holds the edit is tried at each place.
+PLACES = 32
 #: Segments of lines that may take several edits depend on the length in steps of STEP. What is left of a large group of
 #: these is compared in pairs of blocks of about so many lines.
 STEP, BLOCK = 16, 512
@@ -52,14 +54,13 @@ def _first(lines: DataFrame) -> DataFrame:
     return _states(lines.where(F.length("line") >= LEAST), parts)
 
 
-def _meeting(states) -> DataFrame:
-    """The states, saved, whose segment two different lines share, at least one of them as the shorter."""
+def _meeting(states: DataFrame) -> DataFrame:
+    """The states, saved, whose segment two different lines share, at least one of them as the shorter; `large`: more than PAIRED share it."""
+    group = Window.partitionBy("segment")
     own = F.when(~F.col("longer"), F.col("hash"))
-    shared = saved(
-        states.groupBy("segment").agg(F.min(own).alias("x"), F.max(own).alias("y"), F.max("longer").alias("z"))
-        .where("x <> y OR (x IS NOT NULL AND z)").select(F.col("segment").alias("of_segment"))
-    )
-    return saved(states.join(shared, F.col("segment") == F.col("of_segment")).drop("of_segment").distinct())
+    shared = states.select("*", F.min(own).over(group).alias("x"), F.max(own).over(group).alias("y"), F.max("longer").over(group).alias("z"),
+                           (F.count("*").over(group) > PAIRED).alias("large")).where("x <> y OR (x IS NOT NULL AND z)")
+    return saved(shared.select("segment", "hash", "longer", "n", "a", "b", "large", F.expr("n - a - b AS middle")))
 
 
 def _edits(n: Column) -> Column:
@@ -114,7 +115,7 @@ def _may_be(most: Column) -> Column:
 
 
 def near_edges(lines: DataFrame) -> DataFrame:
-    """Edges (a, b) between hashes of different lines that connect them exactly as all links do.
+    """Edges (a, b) between hashes of different lines that connect them exactly as all links do; not each is a link itself.
 
     `lines` (hash, line) has each different line once. Two lines are linked within as many edits as the shorter may take. Shorter lines, and those in large groups of longer
     ones, go through `_one_edit_edges`. Longer ones that share a segment are verified in pairs, in groups of up to PAIRED.
@@ -125,17 +126,17 @@ def near_edges(lines: DataFrame) -> DataFrame:
     size = F.count("*").over(Window.partitionBy("segment"))
     sized = saved(_segments(lines).withColumn("size", size).where("size > 1"))
     small, large = sized.where(F.col("size") <= PAIRED), sized.where(F.col("size") > PAIRED)
-    wanted = saved(sized.groupBy(F.col("hash").alias("of_hash")).agg(F.max(F.col("size") > PAIRED).alias("large")))
+    wanted = sized.groupBy(F.col("hash").alias("of_hash")).agg(F.max(F.col("size") > PAIRED).alias("large"))
     texts = saved(lines.select("hash", "line").join(wanted.hint("shuffle_hash"), F.col("hash") == F.col("of_hash")).select(
         "hash", "line", "large", _marks("line").alias("marks")))
     short = lines.where(F.length("line") <= MORE[0][0]).select("hash", "line")
-    one = _one_edit_edges(saved(short.union(texts.where("large").select("hash", "line"))))
+    one = _one_edit_edges(short.union(texts.where("large").select("hash", "line")))
     most = max(t for _, t in MORE)
     may = _edits(F.least(F.length("line_a"), F.length("line_b")))
     edits = F.levenshtein("line_a", "line_b", most)
     near, linked = _may_be(F.lit(most)) & _may_be(may), (edits >= 0) & (edits <= may)
     first, second = (texts.select(F.col("hash").alias(c), F.col("line").alias(f"line_{c}"), F.col("marks").alias(f"marks_{c}")) for c in ("a", "b"))
-    pairs = saved(
+    pairs = (
         small.select("segment", F.col("hash").alias("a"), F.col("n").alias("n_a"))
         .join(small.select("segment", F.col("hash").alias("b"), F.col("n").alias("n_b")), "segment")
         .where(f"a < b AND abs(n_a - n_b) <= {most}").select("a", "b").distinct()
@@ -159,48 +160,57 @@ def near_edges(lines: DataFrame) -> DataFrame:
                               F.col("root").alias("root_b"), F.col("line").alias("line_b"), F.col("marks").alias("marks_b"), F.col("shared").alias("shared_b"))
     once = F.expr("array_min(array_intersect(shared_a, shared_b)) = segment")
     crossing = one_side.join(other_side, ["segment", "block", "o_block"]).where(
-        F.expr(f"a < b AND root_a <> root_b AND abs(n_a - n_b) <= {most}") & near & once & linked).select("a", "b")
-    return found.union(saved(crossing.distinct()))
+        F.expr(f"a < b AND root_a <> root_b AND abs(n_a - n_b) <= {most}") & near & once & linked).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    # Each line next to its root, and roots that a link joins: fewer steps from end to end than over the links themselves.
+    return roots.where("of_node <> root").select(F.col("of_node").alias("a"), F.col("root").alias("b")).union(crossing.distinct())
 
 
 def _one_edit_edges(lines: DataFrame) -> DataFrame:
     """Edges (a, b) between hashes of different lines that connect them exactly as all links at one edit do.
 
-    Only segments that two different lines share go on; texts are fetched for those lines alone. Groups of up to PAIRED
-    lines are verified in pairs by Spark's banded edit distance. A larger group divides: of the middle that isn't known
-    to be whole, a first or a last half must be, so each line goes on with a longer a and with a longer b, until groups
-    are small or the middle is gone. Lines that share all but one character at the same place, and a line that others
-    give without one character, are links by themselves and are joined as a star, however many there are.
+    `lines` (hash, line) has each line once. Only segments that two lines share go on; texts are fetched for those lines
+    alone. Groups of up to PAIRED lines are verified in pairs by Spark's banded edit distance. In a larger group the edit
+    lies in the middle that isn't known to be whole. A middle of up to PLACES characters is tried at each place
+    (`_at_each_place`). Of a longer one, a first or a last half must be whole, so the line goes on with a longer a and with a longer b.
     """
     met = _meeting(_first(lines))
-    wanted = saved(met.select(F.col("hash").alias("of_hash")).distinct())
-    texts = saved(lines.select("hash", "line").join(wanted, F.col("hash") == F.col("of_hash")).groupBy("hash").agg(
-        F.min("line").alias("line")))
+    wanted = met.select(F.col("hash").alias("of_hash")).distinct()
+    texts = saved(lines.select("hash", "line").join(wanted, F.col("hash") == F.col("of_hash")).select("hash", "line"))
     first, second = (texts.select(F.col("hash").alias(c), F.col("line").alias(f"line_{c}")) for c in ("a", "b"))
-    found = []
+    pairs, tried = [], []
     while True:
-        sizes = saved(met.groupBy("segment").agg((F.count("*") > PAIRED).alias("large"), F.min("hash").alias("head"), F.min(
-            F.when(~F.col("longer"), F.col("hash"))).alias("own_head")).withColumnRenamed("segment", "of_segment"))
-        sized = saved(met.join(sizes, F.col("segment") == F.col("of_segment")).withColumn("middle", F.expr("n - a - b")))
-        small = sized.where("NOT large")
-        pairs = saved(
+        small, large = met.where("NOT large"), met.where("large")
+        pairs.append(
             small.where("NOT longer").select("segment", F.col("hash").alias("a"))
             .join(small.select("segment", F.col("hash").alias("b"), "longer"), "segment")
-            .where("a < b OR (longer AND a <> b)").select("a", "b").distinct()
+            .where("a < b OR (longer AND a <> b)").select("a", "b")
         )
-        found.append(saved(pairs.join(first, "a").join(second, "b").where(F.levenshtein("line_a", "line_b", 1) >= 0).select("a", "b")))
-        large = sized.where("large")
-        found.append(large.where("middle = 0 AND hash <> head").select(F.col("hash").alias("a"), F.col("head").alias("b")))
-        found.append(large.where("middle = 1 AND NOT longer AND hash <> own_head").select(F.col("hash").alias("a"), F.col("own_head").alias("b")))
-        on = large.where("middle > 0").select(F.col("hash").alias("on_hash"), "longer", "n", "a", "b", "middle")
+        tried.append(large.where(F.col("middle") <= PLACES))
+        on = large.where(F.col("middle") > PLACES).select(F.col("hash").alias("on_hash"), "longer", "n", "a", "b", "middle")
         if on.isEmpty():
             break
-        half = F.expr("greatest(1, middle DIV 2)")
-        rest = F.expr("IF(middle = 1, 1, middle - middle DIV 2)")
+        half, rest = F.expr("middle DIV 2"), F.expr("middle - middle DIV 2")
         lasting = on.join(texts, F.col("on_hash") == F.col("hash"))
         n, a, b, longer = (F.col(c) for c in ("n", "a", "b", "longer"))
-        met = _meeting(_states(lasting, [(n, a + half, b, longer), (n, a, b + rest, longer)]))
-    return reduce(DataFrame.union, found).distinct()
+        met = _meeting(_states(lasting, [(n, a + half, b, longer), (n, a, b + rest, longer)]).distinct())
+    verified = reduce(DataFrame.union, pairs).distinct().join(first, "a").join(second, "b").where(
+        F.levenshtein("line_a", "line_b", 1) >= 0).select("a", "b")
+    of_large = reduce(DataFrame.union, tried).select(F.col("hash").alias("of_hash"), "longer", "a", "middle")
+    return verified.union(_at_each_place(texts.join(of_large, F.col("hash") == F.col("of_hash")))).distinct()
+
+
+def _at_each_place(lines: DataFrame) -> DataFrame:
+    """Edges of `lines` (hash, line, longer, a, middle) at one edit behind the first a characters, within the middle.
+
+    Lines that share all but the character at one place, and a line that others give without one of theirs, are links by
+    themselves and are joined as a star. A star has at most one line for each character, or for each place and character.
+    """
+    without = F.expr("concat(substring(line, 1, place - 1), substring(line, place + 1))")
+    places = lines.withColumn("place", F.expr("explode(sequence(a + 1, a + middle + int(longer)))"))
+    keys = places.select("hash", (~F.col("longer")).alias("whole"), F.xxhash64(F.expr("IF(longer, 0L, bigint(place))"), without).alias("key"))
+    whole = lines.where("NOT longer").select("hash", F.lit(True).alias("whole"), F.xxhash64(F.expr("0L"), "line").alias("key"))
+    head = F.min(F.when(F.col("whole"), F.col("hash"))).over(Window.partitionBy("key"))
+    return keys.union(whole).select("hash", head.alias("head")).where("hash <> head").select(F.col("hash").alias("a"), F.col("head").alias("b"))
 
 
 def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:

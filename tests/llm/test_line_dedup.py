@@ -157,3 +157,56 @@ def test_links_are_sought_in_the_table_of_lines(spark, monkeypatch):
     assert sum(r["n_removed"] for r in L.dedup_lines(frame).collect()) >= 299
     plan = read[0]._jdf.queryExecution().optimizedPlan().toString()
     assert len(made) == 1 and "Generate" not in plan and "parquet" in plan
+
+
+def test_large_groups_take_few_tables(spark, monkeypatch):
+    """One edit in a large group is found in a few steps, however long the part is that is known to hold it."""
+    rng = random.Random(13)
+    base = "".join(rng.choice("abcdefgh") for _ in range(60))
+    kinds = {base[:i] + x + base[i + skip:] for i in range(60) for x in "xy" for skip in (0, 1)} | {"".join(rng.sample(base, 60)) for _ in range(20)}
+    kinds = sorted(kinds | {base} | {base[:i] + "zz" + base[i:] for i in (3, 30, 59)} | {base[:i] + base[i + 1:] for i in (0, 29, 59)})
+    root = {x: x for x in kinds}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(kinds):
+        for b in kinds[:i]:
+            if one_edit(a, b):
+                root[find(a)] = find(b)
+    lines = spark.createDataFrame([(x,) for x in kinds], "line string").select(F.xxhash64("line").alias("hash"), "line")
+    hashes, made, save = {r["line"]: r["hash"] for r in lines.collect()}, [], L.saved
+    monkeypatch.setattr(L, "saved", lambda frame: made.append(1) or save(frame))
+    for places, most in ((L.PLACES, 4), (2, 9)):
+        monkeypatch.setattr(L, "PLACES", places)
+        made.clear()
+        edges = L._one_edit_edges(lines)
+        assert len(made) <= most
+        text = {h: x for x, h in hashes.items()}
+        links = [(text[r["a"]], text[r["b"]]) for r in edges.collect()]
+        assert all(one_edit(a, b) for a, b in links)
+        assert len({tuple(sorted(x)) for x in links}) < len(kinds) * len(kinds) / 8
+        to = {x: x for x in kinds}
+
+        def end(x, to=to):
+            while to[x] != x:
+                x = to[x]
+            return x
+
+        for a, b in links:
+            to[end(a)] = end(b)
+        assert len({(find(x), end(x)) for x in kinds}) == len({find(x) for x in kinds}) == len({end(x) for x in kinds})
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    """A graph of stars is known as such, without another round over it."""
+    from codedframes.llm import components as C
+
+    made, save = [], C.saved
+    monkeypatch.setattr(C, "saved", lambda frame: made.append(1) or save(frame))
+    edges = spark.createDataFrame([(9, 1), (1, 8), (7, 2), (2, 2), (None, 3)], "a long, b long")
+    assert {tuple(r) for r in C.components(edges).collect()} == {(1, 1), (8, 1), (9, 1), (2, 2), (7, 2)} and len(made) == 2
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(5, 77)], "a long, b long")
+    assert {tuple(r) for r in C.components(path).collect()} == {(i, 0) for i in [*range(41), 77]}
